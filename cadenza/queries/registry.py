@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cadenza.queries import labelling
+from cadenza.queries import labelling, preparation
 
 REGISTRY = {}
-for module in (labelling,):
+for module in (preparation, labelling):
     REGISTRY.update(module.QUERIES)

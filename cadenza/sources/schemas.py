@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
 _USERS = "id string, country_code string, client_id string"
 _ACCOUNTS = "id string, user_id string, deleted string, type string"
 _TRANSACTIONS = (
@@ -13,13 +11,13 @@ _TRANSACTIONS = (
 )
 
 SCHEMAS = {
-    "users_app": StructType.fromDDL(_USERS),
-    "test_users_app": StructType.fromDDL("user_id string"),
-    "accounts_app": StructType.fromDDL(_ACCOUNTS),
-    "transactions_app": StructType.fromDDL(_TRANSACTIONS),
-    "users_yts": StructType.fromDDL(_USERS),
-    "accounts_yts": StructType.fromDDL(_ACCOUNTS),
-    "transactions_yts": StructType.fromDDL(_TRANSACTIONS),
+    "users_app": _USERS,
+    "test_users_app": "user_id string",
+    "accounts_app": _ACCOUNTS,
+    "transactions_app": _TRANSACTIONS,
+    "users_yts": _USERS,
+    "accounts_yts": _ACCOUNTS,
+    "transactions_yts": _TRANSACTIONS,
 }
 
 RENAMED = {
@@ -30,4 +28,8 @@ RENAMED = {
 }
 
 # The app transactions lie in Hive-style folders year=/month=.
-PARTITIONS = {"transactions_app": StructType.fromDDL("year int, month int")}
+PARTITIONS = {"transactions_app": "year int, month int"}
+
+
+def column_names(table: str) -> list[str]:
+    return [field.split()[0] for field in SCHEMAS[table].split(",")]

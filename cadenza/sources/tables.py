@@ -6,9 +6,8 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from cadenza.sources.schemas import PARTITIONS, RENAMED, SCHEMAS
+from cadenza.sources.schemas import PARTITIONS, RENAMED, SCHEMAS, column_names
 
 
 def since(first: str | date) -> Column:
@@ -25,19 +24,20 @@ def read_table(
 
     ``start`` prunes the partition folders of a table that has them.
     """
-    fields = SCHEMAS[table].fields + (PARTITIONS[table].fields if table in PARTITIONS and start else [])
-    reader = spark.read.schema(StructType(fields)).format(fmt)
+    partitioned = start and table in PARTITIONS
+    schema = f"{SCHEMAS[table]}, {PARTITIONS[table]}" if partitioned else SCHEMAS[table]
+    reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
     df = reader.load(path)
-    if start and table in PARTITIONS:
+    if partitioned:
         df = df.where(since(start))
     return project(df, table)
 
 
 def project(df: DataFrame, table: str) -> DataFrame:
     renamed = RENAMED.get(table, {})
-    return df.select(*[F.col(n).alias(renamed.get(n, n)) for n in SCHEMAS[table].fieldNames()])
+    return df.select(*[F.col(n).alias(renamed.get(n, n)) for n in column_names(table)])
 
 
 def read_all(spark: SparkSession, paths: dict[str, str], *, fmt: str = "parquet", start: str | None = None) -> dict[str, DataFrame]:
