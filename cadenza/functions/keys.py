@@ -34,10 +34,14 @@ def new_cycle_key(user="user_id", account="account_id", transaction="transaction
     return F.sha2(F.concat_ws("|", F.col(user), F.col(account), F.col(transaction), F.lit("new")), 256)
 
 
-def spread(*keys: str) -> Column:
-    """31 hash bits of a key, computed alike by any engine that knows md5."""
-    text = F.concat_ws("|", *[F.col(k) for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+def spread(*keys: str, seed: int | None = None) -> Column:
+    """60 hash bits of a key and an optional seed: the same on every run and in
+    any engine that knows md5."""
+    text = F.concat_ws("|", *[F.col(k) for k in keys], *([F.lit(str(seed))] if seed is not None else []))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+SPREAD_RANGE = 1 << 60
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:

@@ -37,7 +37,7 @@ def accent_table() -> tuple[str, str]:
             bare = _without_marks(letter)
             if not bare:
                 dropped.append(letter)
-            elif bare != letter and len(bare) == 1 and bare != "'":
+            elif bare != letter and len(bare) == 1:
                 replaced.append(letter)
                 plain.append(bare)
     return "".join(replaced + dropped), "".join(plain)
@@ -50,7 +50,7 @@ def _strip_any_accent(texts: pd.Series) -> pd.Series:
 
 def fold_sql(column: str) -> str:
     """Lower case without accents, inside the JVM."""
-    source, target = accent_table()
+    source, target = (t.replace("\\", "\\\\").replace("'", "\\'") for t in accent_table())
     return f"translate(lower({column}), '{source}', '{target}')"
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cadenza import fixed
 from cadenza.functions.amounts import signed_amount
 from cadenza.functions.keys import account_key, transaction_key
+from cadenza.operators.sampling import keep_fraction
 
 BASE_COLUMNS = [
     "user_id",
@@ -45,7 +46,7 @@ def sample_users(users: DataFrame, wanted: int | None, seed: int = fixed.SAMPLE_
     fraction = min(1.0, round(wanted / total, 4)) if total else 1.0
     if fraction == 1.0:
         return users
-    return users.where(F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(1_000_000)) < int(fraction * 1_000_000))
+    return keep_fraction(users, fraction, ["user_id"], seed)
 
 
 def defined_transactions(transactions: DataFrame, first=None, last=None) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cadenza.queries import labelling, preparation
+from cadenza.queries import labelling, preparation, training
 
 REGISTRY = {}
-for module in (preparation, labelling):
+for module in (preparation, labelling, training):
     REGISTRY.update(module.QUERIES)
