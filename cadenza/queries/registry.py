@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cadenza.queries import labelling, preparation, training
+from cadenza.queries import labelling, modelling, preparation, training
 
 REGISTRY = {}
-for module in (preparation, labelling, training):
+for module in (preparation, labelling, training, modelling):
     REGISTRY.update(module.QUERIES)
