@@ -10,8 +10,9 @@ from cadenza.operators import positions, sampling
 from cadenza.plans import detection, lifecycle, replay
 from cadenza.plans.windows import window_map
 from cadenza.queries.training import TX_SQL
-from cadenza.session import cut
+from cadenza.session import cut, work_path
 from cadenza.sources import adapters as A
+from cadenza.streaming.live import LiveDetection
 
 # --- windows --------------------------------------------------------------------
 
@@ -315,6 +316,72 @@ lines as (
   {' union all '.join(f"select '{n}' as metric, {n} as value, cast({f} as double) as floor from metrics" for n, f in METRIC_FLOORS.items())})
 select metric, value, floor, coalesce(value > floor, false) as passed from lines"""
 
+# --- fitted models ------------------------------------------------------------------
+
+_FITTED: dict = {}
+
+
+def _fitted(spark, sf_dir):
+    """Models fitted on the train users of the events, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        tx = cut(sampling.split_by_user(A.labelled_events(spark, sf_dir)))
+        parts = {p: tx.where(F.col("part") == p).drop("part") for p in ("train", "validation", "test")}
+        models = CycleModels.fit(parts["train"], parts["validation"], Settings().small())
+        _FITTED[key] = (tx.drop("part"), parts, models)
+    return _FITTED[key]
+
+
+def has_cycle_model(spark, sf_dir):
+    _, parts, models = _fitted(spark, sf_dir)
+    return models.evaluate_parts(parts["test"])["has_cycle"]
+
+
+def next_date_model(spark, sf_dir):
+    _, parts, models = _fitted(spark, sf_dir)
+    return models.evaluate_parts(parts["test"])["next_date"]
+
+
+def is_next_model(spark, sf_dir):
+    _, parts, models = _fitted(spark, sf_dir)
+    return models.evaluate_parts(parts["test"])["is_next"]
+
+
+def predict_upcoming(spark, sf_dir):
+    tx, _, models = _fitted(spark, sf_dir)
+    return detection.formatted(detection.predict(tx, models))
+
+
+def replay_metrics(spark, sf_dir):
+    _, parts, models = _fitted(spark, sf_dir)
+    return replay.replay_metrics(replay.replay(parts["test"], models))
+
+
+def replay_reports(spark, sf_dir):
+    _, parts, models = _fitted(spark, sf_dir)
+    return replay.replay_reports(replay.replay(parts["test"], models))
+
+
+def predict_stream(spark, sf_dir):
+    """The events as a stream, with the same result as the batch run."""
+    _, _, models = _fitted(spark, sf_dir)
+    live = LiveDetection(models, work_path(spark, "live"))
+    source = spark.readStream.schema(A.table(spark, sf_dir, "events").schema).option(
+        "pathGlobFilter", "events.parquet"
+    )
+    rows = source.parquet(sf_dir).select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("user_id").cast("string").alias("account_id"),
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.col("ts").cast("date").alias("date"),
+        F.col("value").alias("signed_amount"),
+        F.concat_ws(" ", "event_type", "props").alias("description"),
+    )
+    live.start(rows).awaitTermination()
+    live.finish(spark)
+    return detection.formatted(live.upcoming(spark))
+
+
 QUERIES = {
     "window_assignment": (window_assignment, WINDOW_SQL),
     "window_assignment_account": (window_assignment_account, WINDOW_ACCOUNT_SQL),
@@ -328,4 +395,11 @@ QUERIES = {
     "replay_enriched": (replay_enriched, ENRICHED_SQL),
     "given_replay_metrics": (given_replay_metrics, GIVEN_METRICS_SQL),
     "release_gate": (release_gate, GATE_SQL),
+    "has_cycle_model": (has_cycle_model, None),
+    "next_date_model": (next_date_model, None),
+    "is_next_model": (is_next_model, None),
+    "predict_upcoming": (predict_upcoming, None),
+    "replay_metrics": (replay_metrics, None),
+    "replay_reports": (replay_reports, None),
+    "predict_stream": (predict_stream, None),
 }
