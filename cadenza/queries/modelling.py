@@ -316,6 +316,111 @@ lines as (
   {' union all '.join(f"select '{n}' as metric, {n} as value, cast({f} as double) as floor from metrics" for n, f in METRIC_FLOORS.items())})
 select metric, value, floor, coalesce(value > floor, false) as passed from lines"""
 
+# --- prediction with given rules in the models' place ---------------------------------
+
+
+def rule_models() -> CycleModels:
+    """Plain rules as the three models, so that SQL can follow every step."""
+
+    def is_next(df):
+        gap = F.abs(F.date_diff("date", "predicted_date"))
+        money = F.least(F.abs(F.col("signed_amount") - F.col("predicted_signed_amount")), F.lit(10.0))
+        alike = F.substring_index("description", " ", 1) == F.substring_index("predicted_description", " ", 1)
+        return df.withColumn(
+            "is_next_probability", F.when(alike & (gap <= 2), 0.99 - 0.01 * gap - 0.001 * money).otherwise(F.lit(0.0))
+        )
+
+    return CycleModels(
+        has_cycle=lambda df: df.withColumn(
+            "has_cycle_probability", F.when(F.col("signed_amount") > 10, F.lit(0.9)).otherwise(F.lit(0.1))
+        ),
+        is_next=is_next,
+        next_days=lambda df: df.withColumn(
+            "predicted_days", F.when(F.col("previous_date").isNull(), F.lit(7.6)).otherwise(F.lit(6.9))
+        ),
+        widest_gap=2,
+    )
+
+
+def _event_transactions(events):
+    return events.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("user_id").cast("string").alias("account_id"),
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.col("ts").cast("date").alias("date"),
+        F.col("value").alias("signed_amount"),
+        F.concat_ws(" ", "event_type", "props").alias("description"),
+    )
+
+
+def _flat(upcoming):
+    return detection.formatted(upcoming).withColumn(
+        "predicted_next_dates", F.array_join("predicted_next_dates", ",")
+    ).drop("predicted_next_amounts")
+
+
+def predict_by_rules(spark, sf_dir):
+    return _flat(detection.predict(_event_transactions(A.table(spark, sf_dir, "events")), rule_models()))
+
+
+def _stream_of_events(spark, sf_dir):
+    source = spark.readStream.schema(A.table(spark, sf_dir, "events").schema)
+    return _event_transactions(source.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+
+
+def stream_by_rules(spark, sf_dir):
+    live = LiveDetection(rule_models(), work_path(spark, "live"))
+    live.start(_stream_of_events(spark, sf_dir)).awaitTermination()
+    live.finish(spark)
+    return _flat(live.upcoming(spark))
+
+
+RULES_SQL = """
+with recursive tx as (
+  select cast(user_id as varchar) as user_id, cast(event_id as varchar) as transaction_id, cast(ts as date) as date,
+         value as signed_amount, event_type || ' ' || props as description, event_type as kind from events),
+w as (
+  select 1 as n, min(date) as opens from tx
+  union all
+  select n + 1, (select min(date) from tx where date > w.opens + interval 4 day) from w where w.opens is not null),
+folds as (
+  select 0 as n, '' as user_id, '' as transaction_id, '' as cycle_id, cast(null as date) as date, '' as kind,
+         '' as description, cast(null as date) as predicted_date, cast(null as double) as amount, cast(null as date) as d2
+  union all
+  (with known as (select * from folds),
+   latest as (
+     select * from known where transaction_id <> ''
+     qualify row_number() over (partition by user_id, cycle_id order by predicted_date desc, date desc, transaction_id desc) = 1),
+   today as (
+     select tx.*, k.n from (select max(n) + 1 as n from known) k join w on w.n = k.n
+     join tx on tx.date between w.opens and w.opens + interval 4 day),
+   matched as (
+     select t.user_id, t.transaction_id, l.cycle_id, l.date as previous
+     from today t join latest l on t.user_id = l.user_id and t.kind = l.kind
+      and abs(date_diff('day', t.date, l.predicted_date)) <= 2
+     qualify row_number() over (partition by t.user_id, t.transaction_id order by
+       0.99::double - 0.01::double * abs(date_diff('day', t.date, l.predicted_date))
+         - 0.001::double * least(abs(t.signed_amount - l.amount), 10.0::double) desc, l.cycle_id) = 1),
+   found as (
+     select t.*, coalesce(m.cycle_id, case when t.signed_amount > 10
+              then sha256(t.user_id || '|' || t.user_id || '|' || t.transaction_id || '|new') end) as cycle_id,
+            case when m.previous is null then 7 else 6 end as step
+     from today t left join matched m using (user_id, transaction_id))
+   select (select max(n) + 1 from known) as n, user_id, transaction_id, cycle_id, date, kind, description,
+          predicted_date, amount, d2 from known
+   where (select max(n) from known) < (select max(n) from w where opens is not null)
+   union all
+   select n, user_id, transaction_id, cycle_id, date, kind, description,
+          cast(date + to_days(step) as date), signed_amount, cast(date + to_days(step) as date)
+   from found where cycle_id is not null))
+select transaction_id, user_id, user_id as account_id, cycle_id, strftime(date, '%Y-%m-%d') as date,
+       description as predicted_description, strftime(predicted_date, '%Y-%m-%d') as predicted_date,
+       amount as predicted_signed_amount,
+       concat_ws(',', strftime(predicted_date, '%Y-%m-%d'), strftime(predicted_date + interval 6 day, '%Y-%m-%d'),
+         strftime(predicted_date + interval 12 day, '%Y-%m-%d'), strftime(predicted_date + interval 18 day, '%Y-%m-%d'))
+         as predicted_next_dates
+from folds where n = (select max(n) from w where opens is not null) and transaction_id <> ''"""
+
 # --- fitted models ------------------------------------------------------------------
 
 _FITTED: dict = {}
@@ -366,18 +471,7 @@ def predict_stream(spark, sf_dir):
     """The events as a stream, with the same result as the batch run."""
     _, _, models = _fitted(spark, sf_dir)
     live = LiveDetection(models, work_path(spark, "live"))
-    source = spark.readStream.schema(A.table(spark, sf_dir, "events").schema).option(
-        "pathGlobFilter", "events.parquet"
-    )
-    rows = source.parquet(sf_dir).select(
-        F.col("user_id").cast("string").alias("user_id"),
-        F.col("user_id").cast("string").alias("account_id"),
-        F.col("event_id").cast("string").alias("transaction_id"),
-        F.col("ts").cast("date").alias("date"),
-        F.col("value").alias("signed_amount"),
-        F.concat_ws(" ", "event_type", "props").alias("description"),
-    )
-    live.start(rows).awaitTermination()
+    live.start(_stream_of_events(spark, sf_dir)).awaitTermination()
     live.finish(spark)
     return detection.formatted(live.upcoming(spark))
 
@@ -395,6 +489,8 @@ QUERIES = {
     "replay_enriched": (replay_enriched, ENRICHED_SQL),
     "given_replay_metrics": (given_replay_metrics, GIVEN_METRICS_SQL),
     "release_gate": (release_gate, GATE_SQL),
+    "predict_by_rules": (predict_by_rules, RULES_SQL),
+    "stream_by_rules": (stream_by_rules, RULES_SQL),
     "has_cycle_model": (has_cycle_model, None),
     "next_date_model": (next_date_model, None),
     "is_next_model": (is_next_model, None),
