@@ -84,9 +84,8 @@ def char_grams_sql(column: str) -> str:
 
     A padded word of up to four letters is one piece.
     """
-    padded = (
-        rf"transform(filter(split({fold_sql(column)}, '\\s+'), w -> w <> ''), w -> concat(' ', w, ' '))"
-    )
+    words_once = rf"array_distinct(filter(split({fold_sql(column)}, '\\s+'), w -> w <> ''))"
+    padded = f"transform({words_once}, w -> concat(' ', w, ' '))"
     return (
         f"array_distinct(flatten(transform({padded}, w -> transform("
         "sequence(1, greatest(length(w) - 3, 1)), i -> substring(w, i, 4)))))"

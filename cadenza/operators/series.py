@@ -450,6 +450,6 @@ def summarise_cycles(labelled: DataFrame) -> DataFrame:
             F.count("*").alias("n_transactions"),
             F.min("date").alias("first_date"),
             F.max("date").alias("last_date"),
-            F.round(F.avg("signed_amount"), 6).alias("mean_amount"),
+            F.round(F.avg("signed_amount"), 9).alias("mean_amount"),
         )
     )

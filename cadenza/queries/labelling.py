@@ -78,7 +78,7 @@ def _labels(adapter, rows_sql):
 def _summary(adapter, rows_sql):
     sql = f"""with recursive {labels_sql(rows_sql)}
 select user_account_id, counterparty_cluster, cycle_id, cycle_period, count(*) as n_transactions,
-       min(date) as first_date, max(date) as last_date, round(avg(signed_amount), 6) as mean_amount
+       min(date) as first_date, max(date) as last_date, round(avg(signed_amount), 9) as mean_amount
 from with_labels where cycle_id is not null group by all"""
     return (lambda spark, d: summarise_cycles(label_cycles(adapter(spark, d)))), sql
 

@@ -325,7 +325,7 @@ def impute_scale_stats(spark, sf_dir):
         F.when(F.col("l_returnflag") != "N", F.col("l_quantity")).alias("quantity"), F.col("l_discount").alias("discount")
     )
     stats = metrics.impute_scale_statistics(rows, ["quantity", "discount"])
-    return stats.select(*[F.round(c, 6).alias(c) for c in stats.columns])
+    return stats.select(*[F.round(c, 9).alias(c) for c in stats.columns])
 
 
 IMPUTE_SQL = """
@@ -333,8 +333,8 @@ with given as (
   select case when l_returnflag <> 'N' then l_quantity end as quantity, l_discount as discount from lineitem),
 m as (select avg(quantity) as q, avg(discount) as d from given),
 filled as (select coalesce(quantity, q) as quantity, coalesce(discount, d) as discount from given, m)
-select round(avg(quantity), 6) as mean_quantity, round(avg(discount), 6) as mean_discount,
-       round(stddev_pop(quantity), 6) as std_quantity, round(stddev_pop(discount), 6) as std_discount
+select round(avg(quantity), 9) as mean_quantity, round(avg(discount), 9) as mean_discount,
+       round(stddev_pop(quantity), 9) as std_quantity, round(stddev_pop(discount), 9) as std_discount
 from filled"""
 
 
