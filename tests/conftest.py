@@ -4,7 +4,8 @@ import sys
 import duckdb
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+for folder in (os.path.dirname(os.path.abspath(__file__)), os.path.dirname(os.path.dirname(os.path.abspath(__file__)))):
+    sys.path.insert(0, folder)
 
 from cadenza.session import local_session  # noqa: E402
 
