@@ -71,6 +71,21 @@ def test_like_brute_force(spark, block):
     assert ours(spark, rows, block=block) == brute_force(rows)
 
 
+def test_crowd_of_near_copies(spark):
+    """Many texts around one template, some bridges, and a node that is only
+    near through the template."""
+    rng = random.Random(9)
+    template = "monthly card payment to the big store in london town".split()
+    rows = []
+    for i in range(40):
+        words = template + [f"ref{i}"]
+        if i % 5 == 0:
+            words = words[1:]
+        rows.append(("u", f"{i:02}", START + timedelta(days=rng.randrange(9)), " ".join(words)))
+    rows += [("u", "x1", START, "monthly card payment"), ("u", "x2", START, " ".join(template[4:])), ("w", "y1", START, " ".join(template))]
+    assert ours(spark, rows, block=3) == brute_force(rows) == ours(spark, rows)
+
+
 def test_chain_of_near_copies_is_one_cluster(spark):
     """Components longer than one step, found by repeated rounds."""
     words = [f"w{i:02}" for i in range(40)]
