@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.functions.keys import same_key
+
 CYCLE = ["user_id", "account_id", "cycle_id"]
 
 
@@ -29,13 +31,27 @@ def cycle_position(df: DataFrame, cycle: str, prefix: str = "") -> DataFrame:
     """Number in the cycle, is first, is a later one; no cycle counts as neither.
 
     Rows without a cycle take no part in the window: they would all meet in one
-    partition per account.
+    partition per account.  Predicted cycles may gather many rows, so rows are
+    numbered per day of a cycle, after the rows of its days before.
     """
     inside = F.col(cycle).isNotNull()
-    number = F.row_number().over(in_cycle(cycle))
+    day = ["user_id", "account_id", cycle, "date"]
+    before = Window.partitionBy(*day[:3]).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        df.where(inside)
+        .groupBy(*day)
+        .count()
+        .select(*day, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_earlier"))
+    )
+    in_day = F.row_number().over(Window.partitionBy(*day).orderBy("transaction_id"))
     placed = (
         df.where(inside)
-        .withColumn(f"{prefix}nth_in_cycle", number)
+        .withColumn("_in_day", in_day)
+        .alias("r")
+        .join(earlier.alias("e"), same_key("r", "e", day))
+        .select("r.*", "e._earlier")
+        .withColumn(f"{prefix}nth_in_cycle", (F.col("_earlier") + F.col("_in_day")).cast("int"))
+        .drop("_earlier", "_in_day")
         .withColumn(f"{prefix}new_cycle", F.col(f"{prefix}nth_in_cycle") == 1)
         .withColumn(f"{prefix}next_in_cycle", F.col(f"{prefix}nth_in_cycle") > 1)
     )

@@ -90,6 +90,22 @@ where {hash_sql('user_id', seed=SAMPLE_SEED)} <
               else cast(floor(round(75.0::double / count(*), 4) * 1152921504606846976.0::double) as bigint) end from users)"""
 
 
+def evaluation_sample(spark, sf_dir):
+    """All orders of two in a hundred customers."""
+    orders = A.table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("user_id"), "o_orderkey")
+    return sampling.sample_of_users(orders)
+
+
+EVALUATION_SAMPLE_SQL = f"""
+with users as (select distinct cast(o_custkey as varchar) as user_id from orders),
+chosen as (
+  select user_id from users
+  qualify row_number() over (order by {hash_sql('user_id', seed=SAMPLE_SEED + 2)})
+          <= ceil(round(0.02::double * count(*) over (), 9)))
+select cast(o_custkey as varchar) as user_id, o_orderkey
+from orders where cast(o_custkey as varchar) in (select user_id from chosen)"""
+
+
 def has_cycle_dataset(spark, sf_dir):
     tx = cut(A.labelled_events(spark, sf_dir))
     return datasets.has_cycle_dataset(tx).select("user_id", "account_id", "transaction_id", "date", "has_cycle")
@@ -418,6 +434,7 @@ QUERIES = {
     "user_split": (user_split, USER_SPLIT_SQL),
     "split_overlap": (split_overlap, SPLIT_OVERLAP_SQL),
     "user_sample": (user_sample, USER_SAMPLE_SQL),
+    "evaluation_sample": (evaluation_sample, EVALUATION_SAMPLE_SQL),
     "has_cycle_dataset": (has_cycle_dataset, HAS_CYCLE_SQL),
     "class_sample": (class_sample, CLASS_SAMPLE_SQL),
     "dataset_sizes": (dataset_sizes, DATASET_SIZES_SQL),
