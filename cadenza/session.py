@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -65,3 +67,19 @@ def cut(df: DataFrame) -> DataFrame:
     path = work_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python
+    workers can import it wherever they were started."""
+    run = spark.sparkContext.applicationId
+    if run in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="cadenza-code-"), "cadenza_code")
+    shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(base + ".zip")
+    _SHIPPED.add(run)
