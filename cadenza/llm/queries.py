@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cadenza.llm.bpe import round_trip
 from cadenza.llm.decontaminate import hit_counts
+from cadenza.llm.jaccard_groups import linked
 from cadenza.llm.url_filters import Rule, filter_urls
 
 QUERIES = {}
@@ -90,3 +91,27 @@ def op4(spark, sf_dir):
 @query("op8_bpe")
 def op8(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "documents"))
+
+
+_JACCARD_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM d WHERE len(w) > 0)
+), sized AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS MATERIALIZED (
+  SELECT x, y FROM common JOIN sized p ON p.doc_id = x JOIN sized q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least AS component_id
+FROM d LEFT JOIN sized USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS least FROM reach GROUP BY x) USING (doc_id)"""
+
+
+@query("op5_jaccard_join", _JACCARD_SQL)
+def op5(spark, sf_dir):
+    return linked(table(spark, sf_dir, "documents"))
