@@ -5,6 +5,8 @@ from __future__ import annotations
 from cadenza.llm.bpe import round_trip
 from cadenza.llm.decontaminate import hit_counts
 from cadenza.llm.jaccard_groups import linked
+from cadenza.llm.quality import judged
+from cadenza.llm.quality_sql import QUALITY_SQL
 from cadenza.llm.url_filters import Rule, filter_urls
 
 QUERIES = {}
@@ -115,3 +117,8 @@ FROM d LEFT JOIN sized USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS least
 @query("op5_jaccard_join", _JACCARD_SQL)
 def op5(spark, sf_dir):
     return linked(table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality_rules", QUALITY_SQL)
+def op2(spark, sf_dir):
+    return judged(table(spark, sf_dir, "documents"), carry=["doc_id"])
