@@ -5,6 +5,7 @@ from __future__ import annotations
 from cadenza.llm.bpe import round_trip
 from cadenza.llm.decontaminate import hit_counts
 from cadenza.llm.jaccard_groups import linked
+from cadenza.llm.pii import find_spans
 from cadenza.llm.quality import judged
 from cadenza.llm.quality_sql import QUALITY_SQL
 from cadenza.llm.url_filters import Rule, filter_urls
@@ -122,3 +123,8 @@ def op5(spark, sf_dir):
 @query("op2_quality_rules", QUALITY_SQL)
 def op2(spark, sf_dir):
     return judged(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+@query("op10_pii")
+def op10(spark, sf_dir):
+    return find_spans(table(spark, sf_dir, "documents"))
