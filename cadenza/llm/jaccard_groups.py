@@ -151,9 +151,7 @@ def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
             )
 
     named = docs.select(F.col(text).alias("body")).mapInArrow(run, "node long, n int, body string")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    return cut(named.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    return cut(named.join(_listed(wanted), "node", "left_semi").dropDuplicates(["node"]))
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -247,6 +245,19 @@ def linked(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are the least id of their component."""
-    kept = linked(docs, doc_id=doc_id, text=text).where(F.col("component_id").eqNullSafe(F.col(doc_id))).select(F.col(doc_id).alias("_kept")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
+    """The rows of ``docs`` that are the least id of their component; of rows that
+    repeat an id, one."""
+    found = cut(linked(docs, doc_id=doc_id, text=text).select(F.col(doc_id).alias("_id"), F.col("component_id").eqNullSafe(F.col(doc_id)).alias("_stays")))
+    gone = cut(found.where("NOT _stays").select("_id").distinct())
+    again = cut(found.where("_stays").groupBy("_id").count().where(F.col("count") > 1).select("_id"))
+    out = docs.join(_listed(gone), F.col(doc_id).eqNullSafe(F.col("_id")), "left_anti")
+    if again.isEmpty():
+        return out
+    same = F.col(doc_id).eqNullSafe(F.col("_id"))
+    repeated = docs.join(_listed(again), same, "left_semi").dropDuplicates([doc_id])
+    return out.join(_listed(again), same, "left_anti").unionByName(repeated)
+
+
+def _listed(ids: DataFrame) -> DataFrame:
+    """Broadcast while the list is known to be short; otherwise joined by a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

@@ -189,8 +189,10 @@ def estimates(rows: DataFrame) -> DataFrame:
         found = cut(sums.selectExpr(*KEY, *ESTIMATE).select(*KEY, *PARAMETERS))
 
 
-def judged(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", carry: list[str]) -> DataFrame:
-    """The columns ``carry`` of every row, its measures, ``base_failed`` and ``kept``."""
+def judged(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", carry: list[str], prefix: str = "") -> DataFrame:
+    """The columns ``carry`` of every row, its measures, ``base_failed`` and ``kept``.
+
+    ``prefix`` goes before the new names, where ``carry`` may have the same."""
     names = [f"_c{i}" for i in range(len(carry))]
     measured = docs.select(
         *(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)),
@@ -206,12 +208,12 @@ def judged(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: s
     rows = cut(grouped.where("NOT base_failed").selectExpr(*KEY, *FEATURES))
     enough = rows.groupBy(*KEY).count().where(F.col("count") >= LEAST_ROWS).select(*KEY)
     found = cut(estimates(rows.join(cut(enough), KEY, "left_semi")))
-    features = [f if not f.startswith("CAST(round") else f"CASE WHEN NOT base_failed THEN {f.rsplit(' AS ', 1)[0]} END AS {f.rsplit(' ', 1)[1]}" for f in FEATURES]
+    features = [f"CASE WHEN NOT base_failed THEN {value} END AS {name}" for value, name in (f.rsplit(" AS ", 1) for f in FEATURES)]
     stat_names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     far = grouped.join(found, KEY, "left").selectExpr(*names, *stat_names, *PARAMETERS, "scale", *features, *DISTANCE)
-    out = far.select(
+    kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF * F.col("scale"), F.lit(True))
+    return far.select(
         *(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)),
-        *(F.col(s).alias(s) for s in stat_names),
-        (~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF * F.col("scale"), F.lit(True))).alias("kept"),
+        *(F.col(s).alias(prefix + s) for s in stat_names),
+        kept.alias(f"{prefix}kept"),
     )
-    return out
