@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cadenza.llm.bpe import round_trip
 from cadenza.llm.decontaminate import hit_counts
+from cadenza.llm.html_text import extract
 from cadenza.llm.jaccard_groups import linked
 from cadenza.llm.pii import find_spans
 from cadenza.llm.quality import judged
@@ -128,3 +129,8 @@ def op2(spark, sf_dir):
 @query("op10_pii")
 def op10(spark, sf_dir):
     return find_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op7_html_extraction")
+def op7(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages"))
