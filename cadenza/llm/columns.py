@@ -67,13 +67,12 @@ class Words:
         inside[:-1] = is_word[data]
         first = np.zeros(len(data) + 1, bool)
         first[offsets] = True
-        # A word begins at a word byte that is first in its row or follows a separator.
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1] | first[1:]
-        self.start = np.flatnonzero(begins)
-        ends = ~inside | first
-        stops = np.flatnonzero(ends)
-        self.end = stops[np.searchsorted(stops, self.start, "right")] if len(self.start) else self.start
+        # A word begins at a word byte that is first in its row or follows a separator,
+        # and ends where the next byte is none or begins a row.
+        before = np.zeros(len(data) + 1, bool)
+        before[1:] = inside[:-1]
+        self.start = np.flatnonzero(inside & (~before | first))
+        self.end = np.flatnonzero(before & (~inside | first))
         #: Words of row r are first_word[r]:first_word[r + 1].
         self.first_word = np.searchsorted(self.start, offsets, "left")
         self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first_word))
@@ -86,33 +85,24 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        """One hash per word: the sum of its bytes by random multipliers of their places, mixed."""
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
+        """One hash per word, from its bytes in eights and its length."""
         length = self.end - self.start
-        longest = int(length.max())
-        factor = keys(longest, 1)
-        total = np.zeros(len(self.start), np.uint64)
-        # Long words are few: place by place over the words that still have a byte there.
-        if longest <= 64:
-            alive = np.arange(len(self.start))
-            for place in range(longest):
-                alive = alive[length[alive] > place]
-                total[alive] += (self.data[self.start[alive] + place].astype(np.uint64) + np.uint64(1)) * factor[place]
-        else:
-            place = np.arange(len(self.data), dtype=np.int64)
-            spread = np.zeros(len(self.data) + 1, np.int64)
-            spread[self.start] = self.start
-            place -= np.maximum.accumulate(spread[:-1])
-            inside = np.zeros(len(self.data) + 1, np.int64)
-            inside[self.start] += 1
-            inside[self.end] -= 1
-            inside = np.cumsum(inside)[:-1] > 0
-            term = np.zeros(len(self.data), np.uint64)
-            term[inside] = (self.data[inside].astype(np.uint64) + np.uint64(1)) * factor[place[inside]]
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(term, dtype=np.uint64)])
-            total = sums[self.end] - sums[self.start]
-        return mixed(total ^ length.astype(np.uint64))
+        total = mixed(length.astype(np.uint64))
+        if not len(length):
+            return total
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eights = np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))
+        alive, place = np.arange(len(length)), 0
+        while len(alive):
+            left = length[alive] - place
+            chunk = eights[self.start[alive] + place] & _MASKS[np.minimum(left, 8)]
+            total[alive] += mixed(chunk ^ mixed(np.array([place], np.uint64)))
+            place += 8
+            alive = alive[left > 8]
+        return mixed(total)
+
+
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def windows(values: np.ndarray, size: int, seed: int = 2) -> np.ndarray:

@@ -43,7 +43,7 @@ WORDS = 5
 #: Similarity in percent.
 LEAST = 80
 #: Prefixes a token may be in before it goes to the end of the order.
-FREQUENT = 64
+FREQUENT = 4
 #: Most frequent tokens told to the tasks, 8 bytes each.  The order only has to be the
 #: same everywhere, so tokens beyond it cost time, not links.
 MOST_FREQUENT = 2_000_000
