@@ -85,27 +85,21 @@ def _repeated(words: Column) -> Column:
 
 def measures(text: Column) -> Column:
     """A struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    text = F.coalesce(text, F.lit(""))
-
-    def measured(trimmed: Column) -> Column:
-        words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACES))
-        return let(
-            words,
-            lambda w: F.struct(
-                F.size(w).cast("long").alias("n_words"),
-                F.length(F.regexp_replace(trimmed, SPACES, "")).cast("long").alias("word_chars"),
-                F.length(F.regexp_replace(trimmed, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-                _repeated(w).alias("n_repeat_words"),
-            ),
+    def measured(whole: Column, trimmed: Column, words: Column) -> Column:
+        lines = F.filter(F.split(whole, "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != "")
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.length(F.regexp_replace(trimmed, SPACES, "")).cast("long").alias("word_chars"),
+            F.length(F.regexp_replace(trimmed, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+            let(lines, lambda v: (F.size(v) - F.size(F.array_distinct(v))).cast("long")).alias("n_dup_lines"),
+            _repeated(words).alias("n_repeat_words"),
         )
 
-    # Lines keep their own outer blanks, so they are cut from the text itself.
-    def both(whole: Column) -> Column:
-        lines = F.filter(F.split(whole, "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != "")
-        dup = let(lines, lambda v: (F.size(v) - F.size(F.array_distinct(v))).cast("long"))
-        return let(F.btrim(whole, F.lit(WHITE)), measured).withField("n_dup_lines", dup)
+    def split(whole: Column, trimmed: Column) -> Column:
+        words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACES))
+        return let(words, lambda w: measured(whole, trimmed, w))
 
-    return let(text, both)
+    return let(F.coalesce(text, F.lit("")), lambda whole: let(F.btrim(whole, F.lit(WHITE)), lambda trimmed: split(whole, trimmed)))
 
 
 #: The features, in terms of the measures; texts without words never get here.
