@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cadenza.llm import phrase_dedup, suffix_dedup, warc
 from cadenza.llm.bpe import round_trip
 from cadenza.llm.decontaminate import hit_counts
 from cadenza.llm.html_text import extract
@@ -134,3 +135,27 @@ def op10(spark, sf_dir):
 @query("op7_html_extraction")
 def op7(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_suffix_dedup")
+def op3(spark, sf_dir):
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op9_phrase_dedup")
+def op9(spark, sf_dir):
+    return phrase_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+first AS (SELECT digest, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN first USING (digest)"""
+
+
+@query("op6_warc", _WARC_SQL)
+def op6(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
