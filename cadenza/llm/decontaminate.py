@@ -99,17 +99,16 @@ class WindowSet:
 
 def find_windows(docs: DataFrame, benchmark: DataFrame, *, text: str, item_id: str = "item_id", item_text: str = "text",
                  size: int = SIZE, part_windows: int = PART_WINDOWS) -> DataFrame:
-    """``docs`` with ``n_words``, ``hit_at`` (places of hit words, ascending) and
-    ``hit_items`` (ids in string order); columns of these names are replaced."""
+    """``docs`` with ``_n_words``, ``_hit_at`` (places of hit words, ascending) and
+    ``_hit_items`` (ids in string order)."""
     found = cut(item_windows(benchmark, item_id, item_text, size))
     n = found.count()
     parts = max(1, -(-n // part_windows))
-    kept = [c for c in docs.columns if c not in ("n_words", "hit_at", "hit_items")]
     out = docs.select(
-        *kept,
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<int>").alias("hit_at"),
-        F.array().cast("array<string>").alias("hit_items"),
+        "*",
+        F.lit(0).cast("long").alias("_n_words"),
+        F.array().cast("array<int>").alias("_hit_at"),
+        F.array().cast("array<string>").alias("_hit_items"),
     )
     for part in range(parts):
         mine = found.where(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == part) if parts > 1 else found
@@ -125,7 +124,7 @@ def _searched(shared, text):
         for batch in batches:
             names = batch.schema.names
             counts, places, items = [], [], []
-            before = zip(batch.column(text).to_pylist(), batch.column("hit_at"), batch.column("hit_items"), strict=True)
+            before = zip(batch.column(text).to_pylist(), batch.column("_hit_at"), batch.column("_hit_items"), strict=True)
             for body, at, seen in before:
                 words = normal_words(body)
                 hits = part.find(words) if words and part.items else []
@@ -137,7 +136,7 @@ def _searched(shared, text):
                 else:
                     places.append(at.as_py())
                     items.append(seen.as_py())
-            new = {"n_words": pa.array(counts, pa.int64()), "hit_at": pa.array(places, pa.list_(pa.int32())), "hit_items": pa.array(items, pa.list_(pa.string()))}
+            new = {"_n_words": pa.array(counts, pa.int64()), "_hit_at": pa.array(places, pa.list_(pa.int32())), "_hit_items": pa.array(items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names=names)
 
     return search
@@ -148,18 +147,18 @@ def hit_counts(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id",
     found = find_windows(docs.select(doc_id, text), benchmark, text=text, size=size)
     return found.select(
         doc_id,
-        "n_words",
-        F.size("hit_at").cast("long").alias("n_hit"),
-        F.size("hit_items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"),
-        (F.size("hit_at") > 0).alias("contaminated"),
+        F.col("_n_words").alias("n_words"),
+        F.size("_hit_at").cast("long").alias("n_hit"),
+        F.size("_hit_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "_hit_items"), 256).alias("items_sha256"),
+        (F.size("_hit_at") > 0).alias("contaminated"),
     )
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", size: int = SIZE) -> DataFrame:
     """The rows of ``docs`` in which no window occurs."""
     found = find_windows(docs, benchmark, text=text, size=size)
-    return found.where(F.size("hit_at") == 0).select(*docs.columns)
+    return found.where(F.size("_hit_at") == 0).select(*docs.columns)
 
 
 
