@@ -133,23 +133,6 @@ def _certainly_beyond(cap: int):
     return judge
 
 
-@F.arrow_udf(ArrayType(IntegerType()))
-def _possible_starts(days: pa.Array) -> pa.Array:
-    """Per day of a group, bit p is set where a series of period p that starts
-    there could reach length three, judged by which days have rows at all."""
-    out = []
-    for group_days in days:
-        day = group_days.values.to_numpy(zero_copy_only=False)
-        bits = np.zeros(len(day), dtype=np.int32)
-        for which, (period, error) in enumerate(_HALF_DAYS):
-            low = np.searchsorted(day, day + period - error, "left")
-            high = np.searchsorted(day, day + period + error, "right")
-            followed = np.concatenate([[0], np.cumsum(high > low)])
-            bits |= (followed[high] > followed[low]).astype(np.int32) << which
-        out.append(bits.tolist())
-    return pa.array(out, pa.list_(pa.int32()))
-
-
 def _half_day(date: str = "date") -> Column:
     return 2 * F.unix_date(F.col(date))
 
@@ -241,20 +224,26 @@ def label_cycles(
 def _label_large(df: DataFrame, cap: int, group_limit: int, columns: list[str]) -> DataFrame:
     """Label groups of any size without bringing one together.
 
+    Rows of equal key and date are told apart by a number, in the order that the
+    search in one piece gives them.
+
     1. Of rows alike in group, day and amount only the first ``cap + 1`` can
        matter: they are interchangeable but for their order, at most ``cap``
        cycles take one of them each, and one more would exceed the cap.
        ``row_number() <= k`` is cut down on every partition before the shuffle.
     2. Day counts of the rows left prove most big groups to exceed the cap.
     3. Groups that became small enough are searched like any other.
-    4. The rest is searched in rounds, each one a join and a minimum over all
-       of them (:func:`_search_in_rounds`).
+    4. In the rest all starts of a period are judged at once
+       (:func:`_search_in_rounds`).
     """
+    rest = [c for c in columns if c not in GROUP]
+    repeats = Window.partitionBy(*GROUP, "date", ROW).orderBy(F.struct(*rest))
+    df = cut(df.withColumn("_again", F.row_number().over(repeats)))
     # A row without an amount is never the nearest, and a series from it stops.
-    slim = df.select(*GROUP, ROW, "date", "signed_amount").where(
+    slim = df.select(*GROUP, ROW, "date", "signed_amount", "_again").where(
         F.col("signed_amount").isNotNull() & ~F.isnan("signed_amount")
     )
-    alike = Window.partitionBy(*GROUP, "date", "signed_amount").orderBy(ROW)
+    alike = Window.partitionBy(*GROUP, "date", "signed_amount").orderBy(ROW, "_again")
     thin = cut(slim.withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= cap + 1).drop("_n"))
 
     per_day = thin.groupBy(*GROUP, _half_day().alias("_day")).count()
@@ -272,8 +261,12 @@ def _label_large(df: DataFrame, cap: int, group_limit: int, columns: list[str])
         return thin.alias("t").join(groups.alias("g"), same_key("t", "g", GROUP), "left_semi")
 
     open_groups = verdict.where(~F.col("_beyond"))
-    fits = of(open_groups.where(F.col("_size") <= group_limit))
-    labels = _label_bounded(fits, cap, thin.columns).where(F.col("cycle_id").isNotNull())
+    # Here the number of a repeat is part of the key, and orders like it.
+    fits = of(open_groups.where(F.col("_size") <= group_limit)).select(
+        *GROUP, F.struct(ROW, "_again").alias(ROW), "date", "signed_amount"
+    )
+    labels = _label_bounded(fits, cap, fits.columns).where(F.col("cycle_id").isNotNull())
+    labels = labels.select(*GROUP, F.col(ROW).alias("_key"), "date", "cycle_id", "cycle_period")
     huge = open_groups.where(F.col("_size") > group_limit)
     if not huge.isEmpty():
         labels = labels.unionByName(_search_in_rounds(of(huge), cap))
@@ -281,7 +274,8 @@ def _label_large(df: DataFrame, cap: int, group_limit: int, columns: list[str])
     labels = labels.select(
         F.col(GROUP[0]).alias("_account"),
         F.col(GROUP[1]).alias("_cluster"),
-        F.col(ROW).alias("_row"),
+        F.col(f"_key.{ROW}").alias("_row"),
+        F.col("_key._again").alias("_number"),
         F.col("date").alias("_date"),
         "cycle_id",
         "cycle_period",
@@ -291,133 +285,117 @@ def _label_large(df: DataFrame, cap: int, group_limit: int, columns: list[str])
         (F.col(GROUP[0]) == F.col("_account"))
         & F.col(GROUP[1]).eqNullSafe(F.col("_cluster"))
         & (F.col(ROW) == F.col("_row"))
+        & (F.col("_again") == F.col("_number"))
         & (F.col("date") == F.col("_date")),
         "left",
     ).select(*columns, "cycle_id", "cycle_period")
 
 
 def _search_in_rounds(thin: DataFrame, cap: int) -> DataFrame:
-    """The same greedy search with one cursor row per group.
-
-    A round joins the cursors to the rows, and takes per group either the next
-    free start row (of this period or a later one) or the nearest row of the
-    current window, as one ``min``.  Only cursors change; rows stay spread over
-    the cluster.  Start rows whose days rule out a third member are passed over.
+    """The same greedy search over all groups at once, in a bounded number of rounds.
+
+    A start that fails leaves no trace, so all free starts of a period are judged
+    against the same used rows: its second member is the nearest amount in its
+    window, and a third exists if any free row lies in the second's window.  The
+    first start that reaches three opens the next cycle, those before it are done.
+    A group finds ``cap + 1`` cycles at most, and the calendar bounds the members
+    of each, so rounds do not grow with the rows.
     """
-    spark = thin.sparkSession
-    slim = thin.select(
-        *GROUP,
-        _half_day().cast("bigint").alias("day"),
-        F.col(ROW).alias("row"),
-        F.col("signed_amount").alias("amount"),
-    )
-    days = slim.groupBy(*GROUP).agg(F.array_sort(F.collect_set("day")).alias("days"))
-    starts = days.select(
-        *GROUP, F.inline(F.arrays_zip("days", _possible_starts("days").alias("starts")))
-    )
     rows = cut(
-        slim.alias("r")
-        .join(
-            starts.alias("s"), same_key("r", "s", GROUP) & (F.col("r.day") == F.col("s.days"))
-        )
-        .select("r.*", "s.starts")
-    )
-    state = (
-        "{a} string, {c} {t}, which int, at struct<day:bigint,row:string>,"
-        "series array<struct<day:bigint,row:string>>, total double, used array<struct<day:bigint,row:string,code:int>>,"
-        "found int, done boolean"
-    ).format(a=GROUP[0], c=GROUP[1], t=dict(rows.dtypes)[GROUP[1]])
-    member = "struct<day:bigint,row:string>"
-    cursor = rows.groupBy(*GROUP).count().select(
-        *GROUP,
-        F.lit(0).alias("which"),
-        F.lit(None).cast(member).alias("at"),
-        F.array().cast(f"array<{member}>").alias("series"),
-        F.lit(0.0).alias("total"),
-        F.array().cast("array<struct<day:bigint,row:string,code:int>>").alias("used"),
-        F.lit(0).alias("found"),
-        F.lit(False).alias("done"),
+        thin.select(
+            *GROUP,
+            _half_day().cast("bigint").alias("day"),
+            F.struct(ROW, "_again").alias("key"),
+            F.col("signed_amount").alias("amount"),
+        ).withColumn("g", F.concat_ws("\u0001", GROUP[0], F.coalesce(F.col(GROUP[1]).cast("string"), F.lit("\u0002"))))
     )
-    cursor = cut(spark.createDataFrame([], state).unionByName(cursor))
-    gaps = F.array(*[F.lit(p) for p, _ in _HALF_DAYS])
-    errors = F.array(*[F.lit(e) for _, e in _HALF_DAYS])
-
-    while not cursor.where(~F.col("done")).isEmpty():
-        c, r = cursor.where(~F.col("done")).alias("c"), rows.alias("r")
-        key = F.struct(F.col("r.day").alias("day"), F.col("r.row").alias("row"))
-        free = ~F.exists(
-            F.col("c.used"), lambda u: (u["day"] == F.col("r.day")) & (u["row"] == F.col("r.row"))
-        )
-        target = F.element_at("c.series", -1)["day"] + F.element_at(gaps, F.col("c.which") + 1)
-        error = F.element_at(errors, F.col("c.which") + 1)
-        growing = F.size("c.series") > 0
-        next_period = F.coalesce(
-            *[
-                F.when(
-                    (F.col("r.starts").bitwiseAND(1 << which) != 0)
-                    & (
-                        (F.col("c.which") < which)
-                        | ((F.col("c.which") == which) & (F.col("c.at").isNull() | (key > F.col("c.at"))))
-                    ),
-                    F.lit(which),
+    names = cut(rows.select("g", *GROUP).distinct())
+    rows = rows.select("g", "day", "key", "amount")
+    key = dict(rows.dtypes)["key"]
+    used = cut(rows.limit(0).select("g", "day", "key", F.lit(0).alias("code")))
+    found = cut(names.select("g", F.lit(0).alias("found")))
+
+    for which, (period, error) in enumerate(_HALF_DAYS):
+        after = found.select("g", F.lit(None).cast(f"struct<day:bigint,key:{key}>").alias("after"))
+        while True:
+            open_groups = found.where(F.col("found") <= cap)
+            free = cut(rows.join(open_groups, "g", "left_semi").join(used, ["g", "day", "key"], "left_anti"))
+            first = cut(_first_start(free, after, period, error))
+            if first.isEmpty():
+                break
+            # One cycle more than the cap: it need not be followed, none is kept.
+            more = first.join(found, "g").where(F.col("found") < cap).select("g", "start", "amount")
+            members = _followed(more, free, period, error)
+            code = (F.col("found") * len(PERIODS) + which).cast("int").alias("code")
+            used = cut(used.unionByName(members.join(found, "g").select("g", "day", "key", code)))
+            found = cut(
+                found.join(first.select("g", F.lit(1).alias("one")), "g", "left").select(
+                    "g", (F.col("found") + F.coalesce("one", F.lit(0))).alias("found")
                 )
-                for which in range(len(PERIODS))
-            ]
-        )
-        wanted = F.when(growing, F.abs(F.col("r.day") - target) <= error).otherwise(next_period.isNotNull())
-        distance = F.when(growing, F.abs(F.col("r.amount") - F.col("c.total") / F.size("c.series"))).otherwise(
-            next_period.cast("double")
-        )
-        hits = (
-            r.join(c, same_key("c", "r", GROUP) & wanted & free)
-            .groupBy(*[F.col("c." + g) for g in GROUP])
-            .agg(F.min(F.struct(distance.alias("d"), key.alias("k"), F.col("r.amount").alias("m"))).alias("hit"))
-        )
-        joined = cursor.alias("c").join(
-            hits.alias("h"),
-            same_key("c", "h", GROUP),
-            "left",
-        )
-        cursor = cut(_advance(joined, cap))
+            )
+            after = cut(
+                after.join(first.select("g", "start"), "g", "left").select("g", F.coalesce("start", "after").alias("after"))
+            )
 
-    kept = cursor.where(F.col("found") <= cap).select(*GROUP, F.inline("used"))
+    kept = used.join(found.where(F.col("found") <= cap), "g", "left_semi").join(names, "g")
     return _decoded(
         kept.select(
-            *GROUP,
-            F.col("row").alias(ROW),
-            F.date_from_unix_date((F.col("day") / 2).cast("int")).alias("date"),
-            F.lit(None).cast("double").alias("signed_amount"),
-            "code",
+            *GROUP, F.col("key").alias("_key"), F.date_from_unix_date((F.col("day") / 2).cast("int")).alias("date"), "code"
         ),
         "code",
     )
 
 
-def _advance(joined: DataFrame, cap: int) -> DataFrame:
-    """One step of every cursor: start, grow or close a series, or finish."""
-    hit, series = F.col("h.hit"), F.col("c.series")
-    got, growing = hit.isNotNull(), F.size("c.series") > 0
-    complete = growing & ~got & (F.size("c.series") >= MIN_CYCLE_LENGTH)
-    exhausted = ~growing & ~got
-    found = F.when(complete, F.col("c.found") + 1).otherwise(F.col("c.found"))
-    which = F.when(~growing & got, hit["d"].cast("int")).otherwise(F.col("c.which"))
-    code = F.col("c.found") * len(PERIODS) + F.col("c.which")
-    none = F.array().cast("array<struct<day:bigint,row:string>>")
-    marks = F.transform(series, lambda m: F.struct(m["day"].alias("day"), m["row"].alias("row"), code.alias("code")))
-    step = {
-        "which": which,
-        "at": F.when(~growing & got, hit["k"]).otherwise(F.col("c.at")),
-        "series": F.when(got, F.concat(series, F.array(hit["k"]))).otherwise(none),
-        "total": F.when(got & growing, F.col("c.total") + hit["m"]).when(got, hit["m"]).otherwise(F.lit(0.0)),
-        "used": F.when(complete, F.concat(F.col("c.used"), marks)).otherwise(F.col("c.used")),
-        "found": found,
-        "done": (found > cap) | exhausted,
-    }
-    finished = F.col("c.done")
-    return joined.select(
-        *[F.col("c." + g).alias(g) for g in GROUP],
-        *[F.when(finished, F.col("c." + name)).otherwise(value).alias(name) for name, value in step.items()],
+def _first_start(free: DataFrame, after: DataFrame, period: int, error: int) -> DataFrame:
+    """(g, start, amount): per group the first free row past ``after`` that begins a cycle."""
+    kinds = free.groupBy("g", "day", "amount").agg(F.min("key").alias("key"))
+    place = F.struct("day", "key")
+    starts = free.join(after, "g").where(F.col("after").isNull() | (place > F.col("after")))
+    starts = starts.groupBy("g", "day", "amount").agg(F.min("key").alias("key"))
+    days = free.select("g", "day").distinct()
+    asked = starts.select(
+        "g",
+        F.struct("day", "key", "amount").alias("start"),
+        F.explode(F.sequence(F.col("day") + period - error, F.col("day") + period + error)).alias("day"),
+        F.col("amount"),
+    ).join(days, ["g", "day"], "left_semi")
+    none = F.lit(None)
+    both = kinds.select("g", "day", "amount", "key", none.cast(dict(asked.dtypes)["start"]).alias("start"), F.lit(0).alias("asks")).unionByName(
+        asked.select("g", "day", "amount", none.cast(dict(kinds.dtypes)["key"]).alias("key"), "start", F.lit(1).alias("asks"))
     )
+    row = F.when(F.col("asks") == 0, F.struct("amount", "key"))
+    up = Window.partitionBy("g", "day").orderBy("amount", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy("g", "day").orderBy(F.desc("amount"), "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = both.select(
+        "g", "day", "start", "amount", F.last(row, True).over(up).alias("below"), F.last(row, True).over(down).alias("above")
+    ).where(F.col("start").isNotNull())
+    second = (
+        near.select("g", "day", "start", "amount", F.explode(F.array("below", "above")).alias("hit"))
+        .where(F.col("hit").isNotNull())
+        .groupBy("g", "start")
+        .agg(F.min(F.struct(F.abs(F.col("hit.amount") - F.col("amount")).alias("d"), "day", "hit.key"))["day"].alias("then"))
+    )
+    third = second.select(
+        "g", "start", F.explode(F.sequence(F.col("then") + period - error, F.col("then") + period + error)).alias("day")
+    ).join(days, ["g", "day"], "left_semi")
+    best = third.groupBy("g").agg(F.min("start").alias("s"))
+    return best.select("g", F.struct("s.day", "s.key").alias("start"), F.col("s.amount").alias("amount"))
+
+
+def _followed(first: DataFrame, free: DataFrame, period: int, error: int) -> DataFrame:
+    """(g, day, key) of all members of the cycles that begin at ``first``."""
+    ends = cut(first.select("g", F.col("start.day").alias("day"), F.col("start.key").alias("key"), F.col("amount").alias("total"), F.lit(1).alias("n")))
+    members = ends.select("g", "day", "key")
+    while not ends.isEmpty():
+        windows = ends.select(
+            "g", "total", "n", F.explode(F.sequence(F.col("day") + period - error, F.col("day") + period + error)).alias("day")
+        )
+        distance = F.abs(F.col("amount") - F.col("total") / F.col("n"))
+        hits = free.join(windows, ["g", "day"]).groupBy("g", "total", "n")
+        hits = hits.agg(F.min(F.struct(distance.alias("d"), "day", "key", "amount")).alias("hit"))
+        ends = cut(hits.select("g", "hit.day", "hit.key", (F.col("total") + F.col("hit.amount")).alias("total"), (F.col("n") + 1).alias("n")))
+        members = members.unionByName(ends.select("g", "day", "key"))
+    return members
 
 
 def cap_cycles(df: DataFrame, group: list[str], cycle: str = "cycle_id", cap: int = MAX_CYCLES_PER_GROUP) -> DataFrame:

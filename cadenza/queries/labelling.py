@@ -19,12 +19,14 @@ def labels_sql(rows_sql: str, key: str = "user_account_id || 'x' || counterparty
     errors = ", ".join(str(2 * e) for _, e, _ in PERIODS)
     names = ", ".join(f"{float(p)}" for p, _, _ in PERIODS)
     return f"""
-  given as ({rows_sql}),
+  given as materialized (
+    select *, row_number() over (partition by user_account_id, counterparty_cluster
+                                 order by date, transaction_pending_id, signed_amount) as place
+    from ({rows_sql})),
   grouped as (
-    select user_account_id, counterparty_cluster,
-           list(transaction_pending_id order by date, transaction_pending_id) as ids,
-           list(2 * date_diff('day', date '1970-01-01', date) order by date, transaction_pending_id) as days,
-           list(signed_amount order by date, transaction_pending_id) as amounts
+    select user_account_id, counterparty_cluster, list(place order by place) as ids,
+           list(2 * date_diff('day', date '1970-01-01', date) order by place) as days,
+           list(signed_amount order by place) as amounts
     from given group by 1, 2),
   search as (
     select user_account_id, counterparty_cluster, ids, days, amounts, 1 as p, 0 as s,
@@ -54,7 +56,7 @@ def labels_sql(rows_sql: str, key: str = "user_account_id || 'x' || counterparty
   finished as (
     select * from search where p = 6),
   labelled as (
-    select user_account_id, counterparty_cluster, ids[i] as transaction_pending_id,
+    select user_account_id, counterparty_cluster, ids[i] as place,
            case when codes[i] >= 0 and found <= {MAX_CYCLES_PER_GROUP}
                 then {key} || '_' || (codes[i] // 5) end as cycle_id,
            case when codes[i] >= 0 and found <= {MAX_CYCLES_PER_GROUP}
@@ -62,7 +64,7 @@ def labels_sql(rows_sql: str, key: str = "user_account_id || 'x' || counterparty
     from (select *, unnest(range(1, len(ids) + 1)) as i from finished)),
   with_labels as (
     select g.*, l.cycle_id, cast(l.cycle_period as double) as cycle_period
-    from given g left join labelled l using (user_account_id, counterparty_cluster, transaction_pending_id))"""
+    from given g left join labelled l using (user_account_id, counterparty_cluster, place))"""
 
 
 _LABEL_COLUMNS = (
@@ -75,6 +77,25 @@ def _labels(adapter, rows_sql):
     return (lambda spark, d: label_cycles(adapter(spark, d))), sql
 
 
+def labels_of_repeated_keys(spark, sf_dir):
+    """Many rows of a group and day share one transaction key here, and big groups
+    are those of more than five rows, so every way of the search is taken."""
+    rows = A.event_groups(spark, sf_dir)
+    same = rows.withColumn("transaction_pending_id", F.concat(F.lit("k"), F.right("transaction_pending_id", F.lit(1))))
+    return label_cycles(same, group_limit=5)
+
+
+REPEATED_KEYS_SQL = f"""
+  select user_account_id, counterparty_cluster, 'k' || right(transaction_pending_id, 1) as transaction_pending_id,
+         date, signed_amount
+  from ({A.EVENT_GROUPS_SQL})"""
+
+
+def labels_of_big_groups(spark, sf_dir):
+    """All customers with more than three lines are big groups."""
+    return label_cycles(A.customer_groups(spark, sf_dir), group_limit=3)
+
+
 def _summary(adapter, rows_sql):
     sql = f"""with recursive {labels_sql(rows_sql)}
 select user_account_id, counterparty_cluster, cycle_id, cycle_period, count(*) as n_transactions,
@@ -147,6 +168,8 @@ QUERIES = {
     "cycle_labels": _labels(A.event_groups, A.EVENT_GROUPS_SQL),
     "cycle_labels_customer": _labels(A.customer_groups, A.CUSTOMER_GROUPS_SQL),
     "cycle_labels_supplier": _labels(A.supplier_groups, A.SUPPLIER_GROUPS_SQL),
+    "cycle_labels_repeated_keys": (labels_of_repeated_keys, _labels(None, REPEATED_KEYS_SQL)[1]),
+    "cycle_labels_big_groups": (labels_of_big_groups, _labels(None, A.CUSTOMER_GROUPS_SQL)[1]),
     "cycle_summary": _summary(A.event_groups, A.EVENT_GROUPS_SQL),
     "cycle_summary_customer": _summary(A.customer_groups, A.CUSTOMER_GROUPS_SQL),
     "cycle_cap": (cycle_cap, CYCLE_CAP_SQL),

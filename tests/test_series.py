@@ -1,14 +1,13 @@
 import random
 from datetime import date, timedelta
 
+import duckdb
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cadenza.fixed import PERIODS
 from cadenza.operators import series
 from cadenza.operators.series import find_cycles, label_cycles
+from cadenza.queries.labelling import _LABEL_COLUMNS, labels_sql
 
 START = date(2020, 1, 1)
 
@@ -30,45 +29,46 @@ def halves(days):
     return [2 * d for d in days]
 
 
-def one_pass(days, amounts, cap):
-    """The rules of the specification as a single scan per start row: rows in
-    order, a pending best that is accepted when a row lies past the window."""
-    free, names, count = [True] * len(days), [None] * len(days), 0
-    for period, error, _ in PERIODS:
-        for start in range(len(days)):
-            if not free[start]:
-                continue
-            chain, aim, pending = [start], days[start] + period, None
-            for row in range(start + 1, len(days)):
-                if not free[row] or row in chain:
-                    continue
-                if days[row] > aim + error:
-                    if pending is None:
-                        break
-                    chain.append(pending[1])
-                    aim, pending = days[pending[1]] + period, None
-                score = abs(amounts[row] - sum(amounts[i] for i in chain) / len(chain))
-                if abs(aim - days[row]) <= error and (pending is None or score < pending[0]):
-                    pending = (score, row)
-            if pending is not None:
-                chain.append(pending[1])
-            if len(chain) >= 3:
-                for row in chain:
-                    free[row], names[row] = False, count
-                count += 1
-    return names if count <= cap else [None] * len(days)
-
-
-@settings(max_examples=300, deadline=None)
-@given(
-    st.lists(st.tuples(st.integers(0, 220), st.integers(1, 6)), min_size=1, max_size=40),
-    st.integers(1, 6),
-)
-def test_search_matches_the_row_by_row_rules(rows, cap):
-    rows.sort()
-    days, amounts = [d for d, _ in rows], [float(a) for _, a in rows]
-    found = [None if c < 0 else c // len(PERIODS) for c in find_cycles(halves(days), amounts, cap)]
-    assert found == one_pass(days, amounts, cap)
+def random_groups(seed, groups=40, ids=None):
+    rng = random.Random(seed)
+    rows = []
+    for g in range(groups):
+        span, amounts = rng.choice([20, 60, 220]), rng.choice([2, 6, 40])
+        for i in range(rng.randint(1, 40)):
+            key = f"{i:03}" if ids is None else f"k{rng.randrange(ids)}"
+            rows.append((f"a{g}", rng.choice([1, 1, 2]), key, rng.randrange(span), rng.randrange(amounts)))
+    return rows
+
+
+def by_sql(rows):
+    """The labels that recursive SQL finds, as sorted rows."""
+    con = duckdb.connect()
+    con.execute("create table t (user_account_id varchar, counterparty_cluster int, transaction_pending_id varchar, date date, signed_amount double)")
+    con.executemany("insert into t values (?, ?, ?, ?, ?)", [(a, c, i, START + timedelta(days=d), m) for a, c, i, d, m in rows])
+    return sorted(map(str, con.execute(f"with recursive {labels_sql('select * from t')} select {_LABEL_COLUMNS} from with_labels").fetchall()))
+
+
+@pytest.mark.parametrize("limit", [series.GROUP_LIMIT, 4])
+@pytest.mark.parametrize("ids", [None, 2])
+def test_random_groups_against_sql(spark, limit, ids):
+    """Small and big groups, with and without repeated keys, have one result."""
+    rows = random_groups(11 + limit % 7, ids=ids)
+    found = label_cycles(frame(spark, rows), group_limit=limit).selectExpr(*_LABEL_COLUMNS.split(", ")).collect()
+    assert sorted(str(tuple(r)) for r in found) == by_sql(rows)
+
+
+def test_rounds_do_not_grow_with_rows(spark, monkeypatch):
+    """Two crowded days and one follower: the number of tables written stays."""
+    written = []
+    monkeypatch.setattr(series, "cut", lambda df, keep=series.cut: written.append(1) or keep(df))
+    counts = []
+    for crowd in (20, 400):
+        rows = [("u", 1, f"{d}-{i}", d, i) for d in (0, 7) for i in range(crowd)] + [("u", 1, "z", 14, 3)]
+        written.clear()
+        found = labels(frame(spark, rows), group_limit=7)
+        assert sum(c is not None for c, _ in found.values()) == 3
+        counts.append(len(written))
+    assert counts[0] == counts[1]
 
 
 def test_worked_example():
@@ -139,7 +139,7 @@ def test_certainty_is_never_wrong():
         counts = {d: days.count(d) for d in days}
         sure = judge(pa.array([[2 * d for d in counts]]), pa.array([list(counts.values())]))[0].as_py()
         if sure:
-            assert one_pass(days, amounts, 2) == [None] * len(days)
+            assert find_cycles([2 * d for d in days], amounts, 2) == [-1] * len(days)
 
 
 def test_cap_on_given_labels_with_null_group(spark):
