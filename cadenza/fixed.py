@@ -19,11 +19,9 @@ MAX_CYCLES_PER_GROUP = 2
 APP_START_DATE = "2018-09-01"
 APP_END_DATE = "2020-09-01"
 APP_COUNTRIES = ("FR", "IT", "GB")
-YTS_COUNTRIES = ("NL",)
-APP_CLIENT_IDS = ("297ecda4-fd60-4999-8575-b25ad23b249c",)
-YTS_CLIENT_IDS = ("3e3aae2f-e632-4b78-bdf8-2bf5e5ded17e",)
+PARTNER_COUNTRIES = ("NL",)
 APP_USERS_SAMPLE = 20000
-YTS_USERS_SAMPLE = 5000
+PARTNER_USERS_SAMPLE = 5000
 SAMPLE_SEED = 42
 
 # Counterparty grouping: cosine distance <= 0.3, i.e. similarity >= 0.7.  On

@@ -82,17 +82,22 @@ def _tenant(transactions: DataFrame, users: DataFrame, accounts: DataFrame, orig
 def base_transactions(
     tables: dict[str, DataFrame],
     *,
+    partner_client_ids,
     app_countries=fixed.APP_COUNTRIES,
     app_client_ids=None,
-    yts_countries=fixed.YTS_COUNTRIES,
-    yts_client_ids=fixed.YTS_CLIENT_IDS,
+    partner_countries=fixed.PARTNER_COUNTRIES,
     first=fixed.APP_START_DATE,
     last=fixed.APP_END_DATE,
-    app_users: int | None = fixed.APP_USERS_SAMPLE,
-    yts_users: int | None = fixed.YTS_USERS_SAMPLE,
+    app_users: int | None = None,
+    partner_users: int | None = None,
     seed: int = fixed.SAMPLE_SEED,
 ) -> DataFrame:
-    """The base table, one lazy plan (sampling counts its users first)."""
+    """The base table, one lazy plan (sampling counts its users first).
+
+    ``partner_client_ids`` names the clients of the partner tenant, ``None`` for all.
+    All users are kept unless a number is asked for; the numbers of the specification
+    are in `fixed`.
+    """
     app_chosen = sample_users(
         eligible_users(
             tables["users_app"], app_countries, client_ids=app_client_ids, test_users=tables["test_users_app"]
@@ -100,15 +105,15 @@ def base_transactions(
         app_users,
         seed,
     )
-    yts_chosen = sample_users(
-        eligible_users(tables["users_yts"], yts_countries, client_ids=yts_client_ids), yts_users, seed
+    partner_chosen = sample_users(
+        eligible_users(tables["users_partner"], partner_countries, client_ids=partner_client_ids), partner_users, seed
     )
     app = _tenant(
         defined_transactions(tables["transactions_app"], first, last), app_chosen, tables["accounts_app"], "app"
     )
-    yts = _tenant(defined_transactions(tables["transactions_yts"]), yts_chosen, tables["accounts_yts"], "yts")
+    partner = _tenant(defined_transactions(tables["transactions_partner"]), partner_chosen, tables["accounts_partner"], "partner")
     return (
-        app.unionByName(yts)
+        app.unionByName(partner)
         .dropDuplicates()
         .withColumnRenamed("cycle_id", "old_cycle_id")
         .withColumn("user_account_id", account_key())

@@ -148,7 +148,7 @@ def input_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(F.col("l_returnflag") == "R", "credit").otherwise("debit").alias("transaction_type"),
         F.lit(False).alias("internal_transaction"),
     )
-    yts = table(spark, sf_dir, "events").select(
+    partner = table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("user_id"),
         F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("account_id"),
         F.col("event_id").cast("string").alias("transaction_id"),
@@ -167,9 +167,9 @@ def input_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "test_users_app": homes.where(F.col("n_name") == "NATION_7").select("user_id"),
         "accounts_app": accounts,
         "transactions_app": app,
-        "users_yts": users(F.col("n_regionkey") > 2),
-        "accounts_yts": accounts,
-        "transactions_yts": yts,
+        "users_partner": users(F.col("n_regionkey") > 2),
+        "accounts_partner": accounts,
+        "transactions_partner": partner,
     }
 
 
@@ -178,7 +178,7 @@ INPUT_TABLES_SQL = f"""
     select *, cast(c_custkey as varchar) as user_id from customer join nation on c_nationkey = n_nationkey),
   users_app as (
     select user_id, n_name as country_code, c_mktsegment as client_id from homes where n_regionkey <= 2),
-  users_yts as (
+  users_partner as (
     select user_id, n_name as country_code, c_mktsegment as client_id from homes where n_regionkey > 2),
   test_users_app as (select user_id from homes where n_name = 'NATION_7'),
   accounts as (
@@ -193,7 +193,7 @@ INPUT_TABLES_SQL = f"""
            case when l_returnflag = 'R' then 'credit' else 'debit' end as transaction_type,
            false as internal_transaction
     from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey),
-  transactions_yts as (
+  transactions_partner as (
     select cast(user_id as varchar) as user_id, 'A' || cast(user_id as varchar) as account_id,
            cast(event_id as varchar) as transaction_id, cast(ts as date) as date,
            value > 100 as pending, event_type as counterparty, true as is_merchant,

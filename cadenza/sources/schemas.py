@@ -15,16 +15,16 @@ SCHEMAS = {
     "test_users_app": "user_id string",
     "accounts_app": _ACCOUNTS,
     "transactions_app": _TRANSACTIONS,
-    "users_yts": _USERS,
-    "accounts_yts": _ACCOUNTS,
-    "transactions_yts": _TRANSACTIONS,
+    "users_partner": _USERS,
+    "accounts_partner": _ACCOUNTS,
+    "transactions_partner": _TRANSACTIONS,
 }
 
 RENAMED = {
     "users_app": {"id": "user_id"},
     "accounts_app": {"id": "account_id"},
-    "users_yts": {"id": "user_id"},
-    "accounts_yts": {"id": "account_id"},
+    "users_partner": {"id": "user_id"},
+    "accounts_partner": {"id": "account_id"},
 }
 
 # The app transactions lie in Hive-style folders year=/month=.

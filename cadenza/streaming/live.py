@@ -6,13 +6,17 @@ any more, and then pass through the same step as in a batch run.
 Everything a batch leaves behind lies in folders named by its number: rows still
 waiting, the state, results, late rows, and a progress row.  Batch ``n`` reads
 the folders of ``n - 1`` and overwrites its own, so a batch that runs again after
-a failure gives the same result.
+a failure gives the same result.  A batch counts once its progress row is written,
+which comes last; a detection that starts again on the same folder goes on from the
+newest such batch.  What :meth:`finish` adds lies in folders of its own and holds
+until another batch comes.
 """
 
 from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,7 +53,6 @@ class LiveDetection:
     ):
         self.models, self.base, self.prior = models, base.rstrip("/"), prior
         self.lateness_days, self.days = lateness_days, days
-        self.last_batch: int | None = None
 
     def start(self, transactions: DataFrame, **trigger) -> StreamingQuery:
         trigger = trigger or {"availableNow": True}
@@ -61,31 +64,45 @@ class LiveDetection:
             .start()
         )
 
-    def _folder(self, kind: str, batch: int) -> str:
-        return f"{self.base}/{kind}/batch={batch}"
+    def _folder(self, kind: str, batch: int, final: bool = False) -> str:
+        return f"{self.base}/{'final_' if final else ''}{kind}/batch={batch}"
 
-    def _before(self, spark: SparkSession, kind: str, batch: int, schema: str) -> DataFrame | None:
-        if batch == 0:
+    def _before(self, spark: SparkSession, kind: str, batch: int | None, schema: str) -> DataFrame | None:
+        if batch is None or batch < 0:
             return None
-        return spark.read.schema(schema).parquet(self._folder(kind, batch - 1))
+        return spark.read.schema(schema).parquet(self._folder(kind, batch))
+
+    def _newest(self, spark: SparkSession, kind: str) -> int | None:
+        """The newest batch with a progress row."""
+        try:
+            found = spark.read.schema(f"{_PROGRESS}, batch int").parquet(f"{self.base}/{kind}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return found.agg(F.max("batch")).first()[0]
 
     def process(self, rows: DataFrame, batch: int, last: bool = False) -> None:
-        """Take in one batch and process the windows it closes (all if ``last``)."""
+        """Take in one batch and process the windows it closes.
+
+        With ``last`` all windows are processed, upon what batch ``batch`` left.
+        """
         spark = rows.sparkSession
-        progress = self._before(spark, "progress", batch, _PROGRESS)
+        previous = batch if last else batch - 1
+        progress = self._before(spark, "progress", previous, _PROGRESS)
         done_until, latest = progress.first() if progress is not None else (None, None)
 
         rows = rows.persist()
         newest = rows.agg(F.max("date")).first()[0]
         latest = max((d for d in (latest, newest) if d is not None), default=None)
         in_time = F.lit(True) if done_until is None else F.col("date") > F.lit(done_until)
-        rows.where(F.col("date").isNull() | ~in_time).write.mode("overwrite").parquet(self._folder("late", batch))
+        rows.where(F.col("date").isNull() | ~in_time).write.mode("overwrite").parquet(self._folder("late", batch, last))
 
         # Scored once, on arrival: the has-cycle model needs no state.
         fresh = self.models.has_cycle(rows.where(F.col("date").isNotNull() & in_time))
-        waiting = self._before(spark, "waiting", batch, _WAITING)
+        waiting = self._before(spark, "waiting", previous, _WAITING)
         names = [*INPUT, "has_cycle_probability"]
-        arrived = self._folder("arrived", batch)
+        arrived = self._folder("arrived", batch, last)
         (fresh.select(*names) if waiting is None else waiting.unionByName(fresh.select(*names))).write.mode(
             "overwrite"
         ).parquet(arrived)
@@ -95,32 +112,32 @@ class LiveDetection:
         windows = window_map(arrived_rows, days=self.days)
         starts = [r[0] for r in windows.select("window_start").distinct().orderBy("window_start").collect()]
         closed = [s for s in starts if last or self._is_closed(s, latest)]
-        state = self._before(spark, "state", batch, UPCOMING)
+        state = self._before(spark, "state", previous, UPCOMING)
         if state is None:
             state = empty_upcoming(spark) if self.prior is None else self.prior.select(*UPCOMING_COLUMNS)
             state = latest_per_cycle(state)
         state, parts = run_windows(
-            arrived_rows.join(windows, "date"), closed, state, self.models, self._folder("windows", batch), self.days
+            arrived_rows.join(windows, "date"), closed, state, self.models, self._folder("windows", batch, last), self.days
         )
         results = spark.read.schema(UPCOMING).parquet(*parts) if parts else empty_upcoming(spark)
-        results.write.mode("overwrite").parquet(self._folder("upcoming", batch))
-        state.select(*UPCOMING_COLUMNS).write.mode("overwrite").parquet(self._folder("state", batch))
+        results.write.mode("overwrite").parquet(self._folder("upcoming", batch, last))
+        state.select(*UPCOMING_COLUMNS).write.mode("overwrite").parquet(self._folder("state", batch, last))
         if closed:
             done_until = closed[-1] + timedelta(days=self.days)
         left = arrived_rows if done_until is None else arrived_rows.where(F.col("date") > F.lit(done_until))
-        left.write.mode("overwrite").parquet(self._folder("waiting", batch))
+        left.write.mode("overwrite").parquet(self._folder("waiting", batch, last))
         spark.createDataFrame([(done_until, latest)], _PROGRESS).write.mode("overwrite").parquet(
-            self._folder("progress", batch)
+            self._folder("progress", batch, last)
         )
-        self.last_batch = batch
 
     def _is_closed(self, start: date, latest: date | None) -> bool:
         return latest is not None and start + timedelta(days=self.days + self.lateness_days) < latest
 
     def finish(self, spark: SparkSession) -> None:
-        """Process what still waits, when no more rows will come."""
-        if self.last_batch is not None:
-            self.process(spark.createDataFrame([], _WAITING).select(*INPUT), self.last_batch + 1, last=True)
+        """Process what still waits, when no more rows will come for now."""
+        newest = self._newest(spark, "progress")
+        if newest is not None:
+            self.process(spark.createDataFrame([], _WAITING).select(*INPUT), newest, last=True)
 
     def upcoming(self, spark: SparkSession) -> DataFrame:
         return self._all(spark, "upcoming", UPCOMING).select(*UPCOMING_COLUMNS)
@@ -129,6 +146,11 @@ class LiveDetection:
         return self._all(spark, "late", _WAITING).select(*INPUT)
 
     def _all(self, spark: SparkSession, kind: str, schema: str) -> DataFrame:
-        if self.last_batch is None:
+        newest = self._newest(spark, "progress")
+        if newest is None:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(*[self._folder(kind, b) for b in range(self.last_batch + 1)])
+        every = spark.read.schema(f"{schema}, batch int").parquet(f"{self.base}/{kind}")
+        found = every.where(F.col("batch") <= newest).drop("batch")
+        if self._newest(spark, "final_progress") == newest:
+            found = found.unionByName(spark.read.schema(schema).parquet(self._folder(kind, newest, True)))
+        return found

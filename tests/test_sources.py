@@ -23,12 +23,12 @@ def test_csv_tables_with_types_and_renames(spark, tmp_path):
     for table in SCHEMAS:
         spark.createDataFrame([], SCHEMAS[table]).write.option("header", True).csv(str(tmp_path / table))
     (tmp_path / "users_app" / "part.csv").write_text("id,country_code,client_id\n7,FR,x\n")
-    (tmp_path / "transactions_yts" / "part.csv").write_text(
-        ",".join(column_names("transactions_yts")) + "\n7,a,t,2019-01-02,true,Shop,false,,text,5.5,debit,false\n"
+    (tmp_path / "transactions_partner" / "part.csv").write_text(
+        ",".join(column_names("transactions_partner")) + "\n7,a,t,2019-01-02,true,Shop,false,,text,5.5,debit,false\n"
     )
     tables = read_all(spark, {t: str(tmp_path / t) for t in SCHEMAS}, fmt="csv")
     assert tables["users_app"].first().user_id == "7"
-    row = tables["transactions_yts"].first()
+    row = tables["transactions_partner"].first()
     assert (row.date, row.pending, row.amount, row.cycle_id) == (date(2019, 1, 2), True, 5.5, None)
 
 
@@ -57,19 +57,19 @@ def test_base_table_rules(spark):
         "test_users_app": spark.createDataFrame([("2",)], "user_id string"),
         "accounts_app": accounts(("a", "1", None, "x"), ("a", "2", None, "x"), ("a", "3", None, "x"), ("closed", "1", "2019-01-01", "x")),
         "transactions_app": spark.createDataFrame(app, SCHEMAS["transactions_app"]),
-        "users_yts": users(("1", "NL", base.fixed.YTS_CLIENT_IDS[0]), ("9", "NL", "other")),
-        "accounts_yts": accounts(("a", "1", None, "x"), ("a", "9", None, "x")),
-        "transactions_yts": spark.createDataFrame([(*good[:3], date(2015, 1, 1), *good[4:]), ("9", *good[1:])], SCHEMAS["transactions_yts"]),
+        "users_partner": users(("1", "NL", "client"), ("9", "NL", "other")),
+        "accounts_partner": accounts(("a", "1", None, "x"), ("a", "9", None, "x")),
+        "transactions_partner": spark.createDataFrame([(*good[:3], date(2015, 1, 1), *good[4:]), ("9", *good[1:])], SCHEMAS["transactions_partner"]),
     }
     rows = sorted(
         (r.origin, r.date.isoformat(), r.signed_amount, r.user_account_id, r.transaction_pending_id)
-        for r in base.base_transactions(tables).collect()
+        for r in base.base_transactions(tables, partner_client_ids=["client"]).collect()
     )
     assert rows == [
         ("app", "2018-09-02", -10.0, "1|a", "t|false"),
         ("app", "2018-09-02", 10.0, "1|a", "t|"),
         ("app", "2020-09-01", -10.0, "1|a", "t|false"),
-        ("yts", "2015-01-01", -10.0, "1|a", "t|false"),
+        ("partner", "2015-01-01", -10.0, "1|a", "t|false"),
     ]
     assert base.sample_users(tables["users_app"], 2).count() <= 3
 
