@@ -156,9 +156,11 @@ def jaccard_brute(rows):
     return [(d, len(sets[i]), least[root(i)]) for i, (d, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("salt", [1000, 2])
-def test_components_against_brute_force(spark, salt, monkeypatch):
+@pytest.mark.parametrize("salt, rounds", [(1000, 4), (2, 0)])
+def test_components_against_brute_force(spark, salt, rounds, monkeypatch):
     monkeypatch.setattr(jaccard_groups, "PER_SALT", salt)
+    monkeypatch.setattr(jaccard_groups, "PER_BLOCK", salt)
+    monkeypatch.setattr(jaccard_groups, "HUB_ROUNDS", rounds)
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdef") for _ in range(4))
     line = " ".join(word() for _ in range(9))
