@@ -354,9 +354,14 @@ def _event_transactions(events):
 
 
 def _flat(upcoming):
-    return detection.formatted(upcoming).withColumn(
-        "predicted_next_dates", F.array_join("predicted_next_dates", ",")
-    ).drop("predicted_next_amounts")
+    """Dates as one text, and amounts as one of whole cents."""
+    cents = F.transform("predicted_next_amounts", lambda a: F.round(a * 100).cast("long").cast("string"))
+    return detection.formatted(upcoming).withColumns(
+        {
+            "predicted_next_dates": F.array_join("predicted_next_dates", ","),
+            "predicted_next_amounts": F.array_join(cents, ","),
+        }
+    )
 
 
 def predict_by_rules(spark, sf_dir):
@@ -418,7 +423,8 @@ select transaction_id, user_id, user_id as account_id, cycle_id, strftime(date,
        amount as predicted_signed_amount,
        concat_ws(',', strftime(predicted_date, '%Y-%m-%d'), strftime(predicted_date + interval 6 day, '%Y-%m-%d'),
          strftime(predicted_date + interval 12 day, '%Y-%m-%d'), strftime(predicted_date + interval 18 day, '%Y-%m-%d'))
-         as predicted_next_dates
+         as predicted_next_dates,
+       rtrim(repeat(cast(cast(round(amount * 100) as bigint) as varchar) || ',', 4), ',') as predicted_next_amounts
 from folds where n = (select max(n) from w where opens is not null) and transaction_id <> ''"""
 
 # --- fitted models ------------------------------------------------------------------
