@@ -436,9 +436,9 @@ def _fitted(spark, sf_dir):
     """Models fitted on the train users of the events, once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
-        tx = cut(sampling.split_by_user(A.labelled_events(spark, sf_dir)))
+        tx = cut(sampling.split_by_user(A.events_with_given_cycles(spark, sf_dir)))
         parts = {p: tx.where(F.col("part") == p).drop("part") for p in ("train", "validation", "test")}
-        models = CycleModels.fit(parts["train"], parts["validation"], Settings().small())
+        models = CycleModels.fit(parts["train"], parts["validation"], Settings())
         _FITTED[key] = (tx.drop("part"), parts, models)
     return _FITTED[key]
 

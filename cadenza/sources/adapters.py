@@ -243,3 +243,25 @@ def labelled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "transaction_pending_id", transaction_key()
     )
     return label_cycles(keyed).drop("user_account_id", "transaction_pending_id")
+
+
+#: Event types that stand for recurring payments where labels are given.
+RECURRING_TYPES = ("purchase", "signup")
+
+
+def events_with_given_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a training table whose cycles are given: those of a user and a
+    recurring type.  The description names the type, so there is something to learn."""
+    key = F.concat_ws("|", "user_id", "event_type")
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("user_id").cast("string").alias("account_id"),
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.col("ts").cast("date").alias("date"),
+        F.lit(False).alias("pending"),
+        F.col("value").alias("signed_amount"),
+        F.concat_ws(" ", "event_type", "props").alias("description"),
+        F.col("event_type").alias("counterparty_cluster"),
+        F.when(F.col("event_type").isin(*RECURRING_TYPES), key).alias("cycle_id"),
+        F.lit(None).cast("double").alias("cycle_period"),
+    )
