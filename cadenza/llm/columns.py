@@ -101,6 +101,23 @@ class Words:
             alive = alive[left > 8]
         return mixed(total)
 
+    def same_as(self, other: np.ndarray) -> bool:
+        """Is every word spelled like the word of the given number?"""
+        length = self.end - self.start
+        if (length != length[other]).any():
+            return False
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eights = np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))
+        alive, place = np.flatnonzero(other != np.arange(len(other))), 0
+        while len(alive):
+            left = length[alive] - place
+            mask = _MASKS[np.minimum(left, 8)]
+            if ((eights[self.start[alive] + place] ^ eights[self.start[other[alive]] + place]) & mask).any():
+                return False
+            place += 8
+            alive = alive[left > 8]
+        return True
+
 
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 

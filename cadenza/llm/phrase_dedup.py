@@ -31,7 +31,7 @@ SIZE = 50
 #: Words of an anchor.
 RUN = 10
 #: Segments worked on at once.
-BLOCK = 8_000
+BLOCK = 4_000
 
 
 def _passages(block: list[tuple]):
@@ -57,53 +57,58 @@ def _passages(block: list[tuple]):
     return words, row, start, owner, ids, first
 
 
+def _signs(words: Words) -> str:
+    """All words of a block as one sign each; equal signs are equal words."""
+    _, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
+    if not words.same_as(first[number]):  # two words of one hash
+        names: dict[bytes, int] = {}
+        spelled = (words.data[a:b].tobytes() for a, b in zip(words.start.tolist(), words.end.tolist(), strict=True))
+        number = np.array([names.setdefault(w, len(names)) for w in spelled])
+    signs = number.astype("<u4") + np.uint32(1)
+    signs[signs >= 0xD800] += np.uint32(0x800)
+    return signs.tobytes().decode("utf-32-le")
+
+
 def block_spans(block: list[tuple]) -> list[tuple[int, int, int]]:
     """(text id, first word, end) of what repeats in a document of larger id."""
     words, row, start, owner, ids, first = _passages(block)
     again = np.flatnonzero(ids[owner] < ids[row])
     if not len(again):
         return []
-    number: dict[bytes, str] = {}
-
-    def signs(low: int, high: int) -> str:
-        """Words as one sign each."""
-        out = []
-        for a, b in zip(words.start[low:high].tolist(), words.end[low:high].tolist(), strict=True):
-            word = words.data[a:b].tobytes()
-            sign = number.get(word)
-            if sign is None:
-                n = len(number) + 1
-                sign = number[word] = chr(n if n < 0xD800 else n + 0x800)
-            out.append(sign)
-        return "".join(out)
-
+    signs = _signs(words)
     # Runs of windows of one segment with one source are one passage.
     breaks = np.ones(len(again), bool)
     breaks[1:] = (row[again][1:] != row[again][:-1]) | (owner[again][1:] != owner[again][:-1]) | (start[again][1:] != start[again][:-1] + 1)
     at = np.flatnonzero(breaks)
     stop = np.append(at[1:], len(again)) - 1
+    lead = np.array([r[4] for r in block], np.int64)
+    mine, other = row[again[at]], owner[again[at]]
+    low = first[other] + start[again[at]] + lead[other] - lead[mine]
+    high = low + start[again[stop]] - start[again[at]] + SIZE
     automaton = ahocorasick.Automaton()
-    streamed = set()
-    lead = [r[4] for r in block]
-    for a, b in zip(again[at].tolist(), again[stop].tolist(), strict=True):
-        mine, other = int(row[a]), int(owner[a])
-        shift = lead[other] - lead[mine]
-        low = int(first[other]) + int(start[a]) + shift
-        passage = signs(low, low + int(start[b] - start[a]) + SIZE)
-        least = automaton.get(passage, None)
-        if least is None or ids[other] < least[1]:
-            automaton.add_word(passage, (len(passage), int(ids[other])))
-        streamed.add(mine)
+    least: dict[str, int] = {}
+    for a, b, doc in zip(low.tolist(), high.tolist(), ids[other].tolist(), strict=True):
+        passage = signs[a:b]
+        if doc < least.get(passage, repeats.LAST + 1):
+            least[passage] = doc
+    for passage, doc in least.items():
+        automaton.add_word(passage, (len(passage), doc))
     automaton.make_automaton()
     out = []
-    for mine in sorted(streamed):
-        _, doc, tid, place, ahead, _ = block[mine]
-        low = int(first[mine])
-        text = signs(low, int(words.first_word[mine + 1]))
-        for last, (size, least) in automaton.iter(text):
-            if least < doc:
-                begin = place - ahead + last + 1 - size
-                out.append((tid, begin, begin + size))
+    for i in np.unique(mine).tolist():
+        _, doc, tid, place, ahead, _ = block[i]
+        begin = end = -1
+        for last, (size, owner_) in automaton.iter(signs[words.first_word[i] : words.first_word[i + 1]]):
+            if owner_ < doc:
+                a, b = place - ahead + last + 1 - size, place - ahead + last + 1
+                if a <= end:
+                    begin, end = min(a, begin), b
+                    continue
+                if end >= 0:
+                    out.append((tid, begin, end))
+                begin, end = a, b
+        if end >= 0:
+            out.append((tid, begin, end))
     return out
 
 
