@@ -29,7 +29,7 @@ from cadenza.llm.columns import blocks, byte_column
 from cadenza.session import cut
 
 #: Places of one anchor hash that a task takes as segments.
-CROWD = 4_000
+CROWD = 2_000
 #: Rows up to which a list is broadcast (8 to 40 bytes each).
 BROADCAST_ROWS = 2_000_000
 LAST = (1 << 63) - 1
@@ -172,29 +172,36 @@ def crowd_spans(rows: DataFrame, keys: DataFrame, units: Callable, size: int, wi
     found = rows.mapInArrow(run, "hash long, id long, tid long, start long, key long")
     if known is None:
         found = found.join(keys.select("key"), "key", "left_semi")
-    found = cut(found.select("hash", "id", "tid", "start").distinct())
+    found = cut(found.select("hash", "id", "tid", "start"))
     place = F.struct("tid", "start") if within else F.col("id")
     ends = found.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b")
-    met = found.join(ends, "hash")
-    if not within:
-        met = met.where("id > a")
-    spans = met.select("tid", "start")
-    # Windows one after another are one span.
-    ordered = spans.groupBy("tid").agg(F.sort_array(F.collect_set("start")).alias("starts"))
-
-    def joined(batches):
+    ends = cut(ends.select("hash", F.lit(-LAST).alias("least") if within else F.col("a").alias("least")))
+    if ends.count() <= BROADCAST_ROWS:
+        table = ends.orderBy("hash").toArrow()
+        shared = rows.sparkSession.sparkContext.broadcast([table.column(c).to_numpy() for c in ("hash", "least")])
+        return found.mapInArrow(_joined_windows(shared, size), "tid long, start long, end long")
+    return found.join(ends, "hash").where("id > least").select("tid", "start", (F.col("start") + size).alias("end"))
+
+
+def _joined_windows(shared, size: int):
+    """Repeated windows, those that overlap as one span."""
+
+    def run(batches):
+        hashes, least = shared.value
         for batch in batches:
-            out_id, out_start, out_end = [], [], []
-            for i, starts in zip(batch.column("tid").to_pylist(), batch.column("starts"), strict=True):
-                starts = np.asarray(starts.values.to_numpy(), np.int64)
-                cuts = np.flatnonzero(np.diff(starts) > size) + 1
-                for part in np.split(starts, cuts):
-                    out_id.append(i)
-                    out_start.append(int(part[0]))
-                    out_end.append(int(part[-1]) + size)
-            yield pa.RecordBatch.from_arrays([pa.array(out_id, pa.int64()), pa.array(out_start, pa.int64()), pa.array(out_end, pa.int64())], names=["tid", "start", "end"])
-
-    return ordered.mapInArrow(joined, "tid long, start long, end long")
+            hash_, ids, tid, start = (batch.column(c).to_numpy() for c in ("hash", "id", "tid", "start"))
+            slot = np.minimum(np.searchsorted(hashes, hash_), max(0, len(hashes) - 1))
+            hit = (hashes[slot] == hash_) & (least[slot] < ids) if len(hashes) else np.zeros(len(ids), bool)
+            tid, start = tid[hit], start[hit]
+            order = np.lexsort((start, tid))
+            tid, start = tid[order], start[order]
+            new = np.ones(len(tid), bool)
+            new[1:] = (tid[1:] != tid[:-1]) | (start[1:] > start[:-1] + size)
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(tid)) - 1 if len(first) else first
+            yield pa.RecordBatch.from_arrays([pa.array(tid[first]), pa.array(start[first]), pa.array(start[last] + size)], names=["tid", "start", "end"])
+
+    return run
 
 
 def united(spans: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ SIZE = 400
 #: Bytes of an anchor.
 RUN = 100
 #: Segments worked on at once.
-BLOCK = 4_000
+BLOCK = 1_500
 
 
 class Suffixes:
