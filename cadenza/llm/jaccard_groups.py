@@ -9,11 +9,14 @@ Tokens are 64-bit hashes of five-word shingles (words lower-cased A-Z, split at
    strangers together.
 2. *Groups.*  The documents of a prefix token are compared with one of them only, its
    hub: as many comparisons as entries, however large the crowd.  Components of the
-   accepted links are the groups of similar documents.
-3. *Token-group matrix.*  Where a prefix token meets several groups, the documents
-   outside its largest group query the others: a group's token union bounds what a
-   query can share with any member, so only groups that hold 80 % of the query's
-   tokens are opened, and then every member of fitting size is compared.
+   accepted links are the groups of similar documents.  The hub is the document with the
+   fewest tokens of its own, as the original among edited copies.  A few rounds with
+   further hubs from the largest groups join what the first ones missed.
+3. *Token-group matrix.*  Where a prefix token still meets several groups, all its
+   documents form the crowd of its largest group, and those outside that group query
+   it.  A task holds a block of a crowd and its tokens; the union of these bounds what
+   a query can share with any document, and only blocks that hold 80 % of the query's
+   tokens are opened and counted document by document.
 
 Every pair of different groups that shares a prefix token is covered by 2 or 3, hence
 no link is lost.  Comparisons are exact on token sets (at 64 bits, two different
@@ -49,6 +52,10 @@ FREQUENT = 4
 MOST_FREQUENT = 2_000_000
 #: Documents compared with a hub in one task.
 PER_SALT = 1_000
+#: Rounds of comparisons with one document per token, before groups are queried.
+HUB_ROUNDS = 2
+#: Documents of a crowd kept in one task.
+PER_BLOCK = 500
 #: Ids up to which a list is broadcast instead of joined through a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -79,9 +86,10 @@ def needed(n):
     return (LEAST * n + 99) // 100
 
 
-def _sized(n: Column, m: Column) -> Column:
-    """Sets of these sizes can be similar."""
-    return 100 * F.least(n, m) >= LEAST * F.greatest(n, m)
+def _possible(n: Column, rest: Column, m: Column, other_rest: Column) -> Column:
+    """Can sets of ``n`` and ``m`` tokens be similar, if the first token they share
+    leaves ``rest`` and ``other_rest`` of each in the order, itself included?"""
+    return (100 + LEAST) * F.least(rest, other_rest) >= LEAST * (n + m)
 
 
 def nodes_of_documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -98,14 +106,15 @@ def nodes_of_documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, text: str, frequent: np.ndarray | None) -> DataFrame:
-    """(token, node, n) of the prefixes; a task gives those of equal texts once."""
+    """(token, node, n, rest) of the prefixes, ``rest`` counting the tokens from this one on;
+    a task gives those of equal texts once."""
     shared = None if frequent is None else docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         last = np.zeros(0, np.uint64) if shared is None else shared.value
         seen: set[int] = set()
         for batch in batches:
-            out, nodes, sizes = [], [], []
+            out, nodes, sizes, rests = [], [], [], []
             for tokens in token_sets(batch.column(0)):
                 n = len(tokens)
                 node = node_of(tokens) if n else 0
@@ -119,11 +128,12 @@ def _prefixes(docs: DataFrame, text: str, frequent: np.ndarray | None) -> DataFr
                 out.append(tokens)
                 nodes.append(np.full(len(tokens), node, np.int64))
                 sizes.append(np.full(len(tokens), n, np.int32))
+                rests.append(np.arange(n, n - len(tokens), -1, dtype=np.int32))
             if out:
-                arrays = [np.concatenate(out).view(np.int64), np.concatenate(nodes), np.concatenate(sizes)]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "node", "n"])
+                arrays = [np.concatenate(out).view(np.int64), *(np.concatenate(c) for c in (nodes, sizes, rests))]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "node", "n", "rest"])
 
-    return docs.select(F.col(text).alias("body")).mapInArrow(run, "token long, node long, n int")
+    return docs.select(F.col(text).alias("body")).mapInArrow(run, "token long, node long, n int, rest int")
 
 
 def frequent_tokens(docs: DataFrame, text: str) -> np.ndarray:
@@ -151,7 +161,7 @@ def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
             )
 
     named = docs.select(F.col(text).alias("body")).mapInArrow(run, "node long, n int, body string")
-    return cut(named.join(_listed(wanted), "node", "left_semi").dropDuplicates(["node"]))
+    return named.join(_listed(wanted), "node", "left_semi")
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -182,62 +192,155 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.select("hub", "part", "node", "body").mapInArrow(run, "hub long, node long")
 
 
-def _open_groups(entries: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (hub, node) still to compare: queries against members of opened groups."""
-    placed = entries.join(groups, "node", "left").withColumn("grp", F.coalesce("label", "node")).drop("label")
-    tally = placed.groupBy("token", "grp").agg(F.count("*").alias("here"))
-    several = (
-        tally.groupBy("token")
-        .agg(F.count("*").alias("grps"), F.sum("here").alias("all"), F.max(F.struct("here", "grp"))["grp"].alias("largest"))
-        .where("grps > 1 and all > 2")
-        .select("token", "largest")
+def _crowds(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """(crowd, node, grp, asks): the documents that meet in prefix tokens of several groups.
+
+    A token's crowd is named after its largest group; all documents of the token belong
+    to it, and those of other groups query it.  Every pair of different groups that
+    shares a token so lies in one crowd, and rows are no more than entries.
+    """
+    placed = entries.join(groups, "node", "left").select("token", "node", F.coalesce("label", "node").alias("grp"))
+    tally = placed.groupBy("token", "grp").agg(F.count("*").alias("c"))
+    tops = tally.groupBy("token").agg(F.count("*").alias("grps"), F.max(F.struct("c", "grp")).alias("top"), F.sum("c").alias("all"))
+    tops = tops.where("grps > 1").select("token", F.col("top.grp").alias("crowd"))
+    met = placed.join(tops, "token").groupBy("crowd", "node", "grp").agg(F.lit(1).alias("one"))
+    return met.select("crowd", "node", "grp", (F.col("grp") != F.col("crowd")).alias("asks"))
+
+
+def queried(crowds: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (hub, node) between documents of different groups in one crowd.
+
+    A crowd is stored in blocks of about ``PER_BLOCK`` documents.  A task keeps a block's
+    tokens with the documents that have each; a query first counts the tokens it shares
+    with the block's union, and only where these are enough are they counted by document.
+    """
+    counts = cut(
+        crowds.groupBy("crowd").agg(
+            F.ceil(F.count("*") / PER_BLOCK).cast("int").alias("blocks"),
+            F.ceil(F.count_if("asks") / PER_SALT).cast("int").alias("salts"),
+        )
     )
-    queries = placed.join(several, "token").where("grp <> largest").select("token", "node", "n", "grp")
-    met = tally.join(several.select("token"), "token").select("token", F.col("grp").alias("other"))
-    sizes = texts.select("node", "n").join(groups, "node", "left").groupBy(F.coalesce("label", "node").alias("other"))
-    sizes = sizes.agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    meetings = queries.join(met, "token").where("grp <> other").select("node", "n", "other").distinct()
-    meetings = cut(meetings.join(sizes, "other").where(f"100 * most >= {LEAST} * n and 100 * n >= {LEAST} * least").select("node", "n", "other"))
-    if meetings.isEmpty():
-        return meetings.select(F.col("node").alias("hub"), F.col("other").alias("node"))
-
-    def spread(batches):
-        for batch in batches:
-            sets = list(token_sets(batch.column(1)))
-            nodes = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
-            tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(tokens.view(np.int64))], names=["node", "token"])
-
-    def tokens_of(nodes: DataFrame) -> DataFrame:
-        return texts.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "body").mapInArrow(spread, "node long, token long")
-
-    members = texts.select("node", "n").join(groups, "node", "left").select("node", "n", F.coalesce("label", "node").alias("other"))
-    members = members.join(meetings.select("other").distinct(), "other", "left_semi")
-    matrix = tokens_of(members).join(members.select("node", "other"), "node").select("other", "token").distinct()
-    bounds = (
-        tokens_of(meetings).join(meetings, "node").join(matrix, ["other", "token"]).groupBy("node", "n", "other").agg(F.count("*").alias("bound"))
+    placed = crowds.join(counts, "crowd")
+    block, salt = (F.pmod(F.xxhash64("node", F.lit(c)), F.col(c)).cast("int") for c in ("blocks", "salts"))
+    asking = placed.where("asks").select(
+        "crowd", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), salt.alias("salt"), F.lit(1).alias("part"), "node", "grp"
+    )
+    stored = placed.select(
+        "crowd", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("part"), "node", "grp"
     )
-    opened = bounds.where(f"100 * bound >= {LEAST} * n")
-    pairs = opened.select(F.col("node").alias("hub"), F.col("n").alias("m"), "other").join(members, "other")
-    return pairs.where(_sized(F.col("n"), F.col("m"))).select("hub", "node").distinct()
+
+    def run(batches):
+        key, names, grps, sets = None, [], [], []
+        every = owner = None
+        for batch in batches:
+            hubs, nodes = [], []
+            columns = (batch.column(c).to_pylist() for c in ("crowd", "block", "salt", "part", "node", "grp"))
+            for *here, part, node, grp, tokens in zip(*columns, token_sets(batch.column("body")), strict=True):
+                if here != key:
+                    key, names, grps, sets, every = here, [], [], [], None
+                if part == 0:
+                    names.append(node)
+                    grps.append(grp)
+                    sets.append(tokens)
+                    continue
+                if not sets:
+                    continue
+                if every is None:
+                    sizes = np.array([len(t) for t in sets])
+                    owner = np.repeat(np.arange(len(sets)), sizes)
+                    every = np.concatenate(sets)
+                    order = np.argsort(every, kind="stable")
+                    every, owner = every[order], owner[order]
+                low, high = np.searchsorted(every, tokens, "left"), np.searchsorted(every, tokens, "right")
+                if np.count_nonzero(high > low) < needed(len(tokens)):
+                    continue
+                length = high - low
+                at = np.arange(length.sum()) + np.repeat(low - np.cumsum(length) + length, length)
+                common = np.bincount(owner[at], minlength=len(sets))
+                alike = 100 * common >= LEAST * (len(tokens) + sizes - common)
+                for i in np.flatnonzero(alike).tolist():
+                    if grps[i] != grp:
+                        hubs.append(node)
+                        nodes.append(names[i])
+            yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(nodes, pa.int64())], names=["hub", "node"])
+
+    dealt = asking.unionByName(stored).join(texts.select("node", "body"), "node")
+    dealt = dealt.repartition("crowd", "block", "salt").sortWithinPartitions("crowd", "block", "salt", "part")
+    return dealt.select("crowd", "block", "salt", "part", "node", "grp", "body").mapInArrow(run, "hub long, node long")
+
+
+def _representatives(docs: DataFrame, named: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, bool]:
+    """The documents of least id among equal token sets, and whether some are repeated rows."""
+    copies = named.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first"), F.count("*").alias("times")).where("times > 1")
+    copies = cut(copies)
+    if copies.isEmpty():
+        return docs.select(text), False
+    same = named.join(_listed(copies.select("node", "first")), "node")
+    others = cut(same.where(~F.col("id").eqNullSafe(F.col("first"))).select(F.col("id").alias("_id")).distinct())
+    again = not same.where(F.col("id").eqNullSafe(F.col("first"))).groupBy("node").count().where("count > 1").isEmpty()
+    return docs.join(_listed(others), F.col(doc_id).eqNullSafe(F.col("_id")), "left_anti").select(text), again
+
+
+def _hub_round(live: DataFrame, groups: DataFrame, tested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """New pairs (hub, node) to compare, and the entries still open after that.
+
+    The hub of a token is a document of its largest group; it meets all documents of the
+    other groups, and needs no place among the token's entries any more.
+    """
+    placed = live.join(groups, "node", "left").select("token", "node", "n", "rest", F.coalesce("label", "node").alias("grp"))
+    tally = placed.groupBy("token", "grp").agg(F.count("*").alias("c"), F.min(F.expr(_LEADS)).alias("hub"))
+    hubs = tally.groupBy("token").agg(F.count("*").alias("grps"), F.max(F.struct("c", "grp", "hub")).alias("top")).where("grps > 1")
+    hubs = hubs.select("token", F.col("top.grp").alias("hub_grp"), *_hub("top.hub"))
+    met = cut(placed.join(hubs, "token").where("node <> hub"))
+    pairs = met.where("grp <> hub_grp").where(_WITH_HUB).select("hub", "node").distinct()
+    return cut(pairs.join(tested, ["hub", "node"], "left_anti")), met.select("token", "node", "n", "rest")
+
+
+def _hub(column: str) -> list[Column]:
+    return [F.col(f"{column}.{c}").alias(name) for c, name in (("node", "hub"), ("n", "hub_n"), ("rest", "hub_rest"))]
+
+
+#: The order in which entries are chosen as hubs: with the fewest tokens of their own
+#: before this one, as the original among edited copies has.
+_LEADS = "struct(n - rest AS own, node, n, rest)"
+#: `_possible` of a document and its token's hub.
+_WITH_HUB = f"{100 + LEAST} * least(rest, hub_rest) >= {LEAST} * (n + hub_n)"
+
+
+def _groups(links: DataFrame) -> DataFrame:
+    return components(links.select(F.col("hub").alias("a"), F.col("node").alias("b")))
 
 
 def linked(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, the least id reachable by links."""
     named = cut(nodes_of_documents(docs, doc_id, text))
-    frequent = frequent_tokens(docs, text)
-    dealt = _prefixes(docs, text, frequent).repartition("token")
-    hubs = dealt.groupBy("token").agg(F.min(F.struct("node", "n")).alias("least"), F.max(F.struct("node", "n")).alias("most"))
-    hubs = hubs.where("least.node < most.node").select("token", F.col("least.node").alias("hub"), F.col("least.n").alias("hub_n"))
-    entries = cut(dealt.join(hubs, "token").distinct())
-    texts = _texts(docs, text, cut(entries.select("node").distinct()))
-    first = entries.where("node <> hub").where(_sized(F.col("n"), F.col("hub_n"))).select("hub", "node").distinct()
-    links = cut(compared(cut(first), texts))
-    groups = components(links.select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    more = cut(_open_groups(entries.select("token", "node", "n"), groups, texts))
-    if not more.isEmpty():
-        links = links.unionByName(cut(compared(more, texts)))
-        groups = components(links.select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    first_docs, again = _representatives(docs, named, doc_id, text)
+    frequent = frequent_tokens(first_docs, text)
+    dealt = _prefixes(first_docs, text, frequent).repartition("token")
+    hubs = dealt.groupBy("token").agg(F.min(F.expr(_LEADS)).alias("hub"), F.min("node").alias("a"), F.max("node").alias("b"))
+    hubs = hubs.where("a < b").select("token", *_hub("hub"))
+    entries = dealt.join(hubs, "token")
+    entries = cut(entries.distinct() if again else entries)
+    texts = _texts(first_docs, text, cut(entries.select("node").distinct()))
+    texts = cut(texts.dropDuplicates(["node"]) if again else texts)
+    pairs = cut(entries.where("node <> hub").where(_WITH_HUB).select("hub", "node").distinct())
+    live = entries.where("node <> hub").select("token", "node", "n", "rest")
+    tested, links = pairs, cut(compared(pairs, texts))
+    groups = _groups(links)
+    for _ in range(HUB_ROUNDS):
+        pairs, live = _hub_round(live, groups, tested)
+        if pairs.isEmpty():
+            continue
+        tested = tested.unionByName(pairs)
+        new = cut(compared(pairs, texts))
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            groups = _groups(links)
+    crowds = cut(_crowds(live, groups))
+    new = cut(queried(crowds, texts))
+    if not new.isEmpty():
+        links = links.unionByName(new)
+        groups = _groups(links)
     placed = named.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = placed.where("label is not null").groupBy("label").agg(F.min("id").alias("least"))
     joined = placed.join(least, "label", "left")
