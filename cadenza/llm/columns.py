@@ -20,6 +20,14 @@ BLOCK_BYTES = 1 << 21
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, or ``name`` with underscores before it that make it new."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = "_" + name
+    return name
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit words (the finalizer known as splitmix64)."""
     x = x + _GOLDEN

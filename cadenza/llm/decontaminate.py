@@ -157,8 +157,10 @@ def hit_counts(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id",
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", size: int = SIZE) -> DataFrame:
     """The rows of ``docs`` in which no window occurs."""
-    found = find_windows(docs, benchmark, text=text, size=size)
-    return found.where(F.size("_hit_at") == 0).select(*docs.columns)
+    # Columns of the input may have the names of the marks, so they get plain ones.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    found = find_windows(docs.toDF(*names), benchmark, text=names[docs.columns.index(text)], size=size)
+    return found.where(F.size("_hit_at") == 0).select(*names).toDF(*docs.columns)
 
 
 

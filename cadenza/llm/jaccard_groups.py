@@ -10,7 +10,7 @@ Tokens are 64-bit hashes of five-word shingles (words lower-cased A-Z, split at
 2. *Groups.*  The documents of a prefix token are compared with one of them only, its
    hub: as many comparisons as entries, however large the crowd.  Components of the
    accepted links are the groups of similar documents.  The hub is the document with the
-   fewest tokens of its own, as the original among edited copies.  A few rounds with
+   fewest tokens of its own, as the original among edited copies.  A round with
    further hubs from the largest groups join what the first ones missed.
 3. *Token-group matrix.*  Where a prefix token still meets several groups, all its
    documents form the crowd of its largest group, and those outside that group query
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.columns import Words, blocks, byte_column, mixed, windows
+from cadenza.llm.columns import Words, blocks, byte_column, fresh, mixed, windows
 from cadenza.llm.components import components
 from cadenza.session import cut
 
@@ -52,8 +52,8 @@ FREQUENT = 4
 MOST_FREQUENT = 2_000_000
 #: Documents compared with a hub in one task.
 PER_SALT = 1_000
-#: Rounds of comparisons with one document per token, before groups are queried.
-HUB_ROUNDS = 2
+#: Rounds of comparisons with a further hub per token, before crowds are queried.
+HUB_ROUNDS = 1
 #: Documents of a crowd kept in one task.
 PER_BLOCK = 500
 #: Ids up to which a list is broadcast instead of joined through a shuffle.
@@ -275,10 +275,11 @@ def _representatives(docs: DataFrame, named: DataFrame, doc_id: str, text: str)
     copies = cut(copies)
     if copies.isEmpty():
         return docs.select(text), False
+    docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body"))
     same = named.join(_listed(copies.select("node", "first")), "node")
     others = cut(same.where(~F.col("id").eqNullSafe(F.col("first"))).select(F.col("id").alias("_id")).distinct())
     again = not same.where(F.col("id").eqNullSafe(F.col("first"))).groupBy("node").count().where("count > 1").isEmpty()
-    return docs.join(_listed(others), F.col(doc_id).eqNullSafe(F.col("_id")), "left_anti").select(text), again
+    return docs.join(_listed(others), F.col("id").eqNullSafe(F.col("_id")), "left_anti").select(F.col("body").alias(text)), again
 
 
 def _hub_round(live: DataFrame, groups: DataFrame, tested: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -350,13 +351,15 @@ def linked(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are the least id of their component; of rows that
     repeat an id, one."""
-    found = cut(linked(docs, doc_id=doc_id, text=text).select(F.col(doc_id).alias("_id"), F.col("component_id").eqNullSafe(F.col(doc_id)).alias("_stays")))
-    gone = cut(found.where("NOT _stays").select("_id").distinct())
-    again = cut(found.where("_stays").groupBy("_id").count().where(F.col("count") > 1).select("_id"))
-    out = docs.join(_listed(gone), F.col(doc_id).eqNullSafe(F.col("_id")), "left_anti")
+    other = fresh("_id", docs.columns)
+    stays = F.col("component_id").eqNullSafe(F.col(doc_id)).alias("stays")
+    found = cut(linked(docs.select(doc_id, text), doc_id=doc_id, text=text).select(F.col(doc_id).alias(other), stays))
+    gone = cut(found.where("NOT stays").select(other).distinct())
+    again = cut(found.where("stays").groupBy(other).count().where(F.col("count") > 1).select(other))
+    same = F.col(doc_id).eqNullSafe(F.col(other))
+    out = docs.join(_listed(gone), same, "left_anti")
     if again.isEmpty():
         return out
-    same = F.col(doc_id).eqNullSafe(F.col("_id"))
     repeated = docs.join(_listed(again), same, "left_semi").dropDuplicates([doc_id])
     return out.join(_listed(again), same, "left_anti").unionByName(repeated)
 

@@ -183,10 +183,23 @@ def estimates(rows: DataFrame) -> DataFrame:
         found = cut(sums.selectExpr(*KEY, *ESTIMATE).select(*KEY, *PARAMETERS))
 
 
-def judged(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", carry: list[str], prefix: str = "") -> DataFrame:
-    """The columns ``carry`` of every row, its measures, ``base_failed`` and ``kept``.
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
-    ``prefix`` goes before the new names, where ``carry`` may have the same."""
+
+def judged(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", carry: list[str]) -> DataFrame:
+    """The columns ``carry`` of every row, its measures, ``base_failed`` and ``kept``."""
+    far, names = _distances(docs, text, lang, source, carry)
+    return far.select(*(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)), *MEASURES, "kept")
+
+
+def kept_documents(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns, whatever their names."""
+    far, names = _distances(docs, text, lang, source, docs.columns)
+    return far.where("kept").select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
+
+
+def _distances(docs: DataFrame, text: str, lang: str, source: str, carry: list[str]) -> tuple[DataFrame, list[str]]:
+    """Measures and verdict of every row, and ``carry`` under the names that are returned."""
     names = [f"_c{i}" for i in range(len(carry))]
     measured = docs.select(
         *(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)),
@@ -203,11 +216,6 @@ def judged(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: s
     enough = rows.groupBy(*KEY).count().where(F.col("count") >= LEAST_ROWS).select(*KEY)
     found = cut(estimates(rows.join(cut(enough), KEY, "left_semi")))
     features = [f"CASE WHEN NOT base_failed THEN {value} END AS {name}" for value, name in (f.rsplit(" AS ", 1) for f in FEATURES)]
-    stat_names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    far = grouped.join(found, KEY, "left").selectExpr(*names, *stat_names, *PARAMETERS, "scale", *features, *DISTANCE)
+    far = grouped.join(found, KEY, "left").selectExpr(*names, *MEASURES, *PARAMETERS, "scale", *features, *DISTANCE)
     kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF * F.col("scale"), F.lit(True))
-    return far.select(
-        *(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)),
-        *(F.col(s).alias(prefix + s) for s in stat_names),
-        kept.alias(f"{prefix}kept"),
-    )
+    return far.select(*names, *MEASURES, kept.alias("kept")), names

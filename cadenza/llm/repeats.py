@@ -28,8 +28,8 @@ from cadenza.llm.anchors import anchors
 from cadenza.llm.columns import blocks, byte_column
 from cadenza.session import cut
 
-#: Places of one anchor hash that a task takes as segments.
-CROWD = 2_000
+#: Places of one anchor hash that a task takes as segments, some 3 KB each.
+CROWD = 40_000
 #: Rows up to which a list is broadcast (8 to 40 bytes each).
 BROADCAST_ROWS = 2_000_000
 LAST = (1 << 63) - 1

@@ -38,6 +38,12 @@ RUN = 100
 BLOCK = 1_500
 
 
+#: Prefix hashes are kept for every so many bytes.
+STRIDE = 4
+#: Rows widened to hashes or comparisons at once.
+CHUNK = 1_000
+
+
 class Suffixes:
     """Strings of up to ``width`` bytes from a common start, with their prefix hashes."""
 
@@ -46,19 +52,38 @@ class Suffixes:
         self.bytes = np.zeros((len(strings), width), np.uint8)
         for i, s in enumerate(strings):
             self.bytes[i, : len(s)] = np.frombuffer(s, np.uint8)
-        self.prefix = np.zeros((len(strings), width + 1), np.uint64)
-        np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * powers(BASE, width), axis=1, out=self.prefix[:, 1:])
+        self.prefix = np.zeros((len(strings), width // STRIDE + 1), np.uint64)
+        for first in range(0, len(strings), CHUNK):
+            terms = (self.bytes[first : first + CHUNK].astype(np.uint64) + np.uint64(1)) * powers(BASE, width)
+            sums = np.cumsum(terms, axis=1)[:, STRIDE - 1 :: STRIDE]
+            self.prefix[first : first + CHUNK, 1 : sums.shape[1] + 1] = sums
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The common extension of each pair, by binary search over prefix hashes."""
-        low = np.zeros(len(a), np.int64)
-        high = np.minimum(self.length[a], self.length[b])
+        """The common extension of each pair: binary search over prefix hashes, and the
+        last few bytes one by one."""
+        limit = np.minimum(self.length[a], self.length[b])
+        low, high = np.zeros(len(a), np.int64), limit // STRIDE
         while (low < high).any():
             middle = (low + high + 1) >> 1
             same = self.prefix[a, middle] == self.prefix[b, middle]
             low = np.where(same, middle, low)
             high = np.where(same, high, middle - 1)
-        return low
+        found = low * STRIDE
+        same = np.ones(len(a), bool)
+        for _ in range(STRIDE):
+            at = np.minimum(found, self.bytes.shape[1] - 1)
+            same &= (found < limit) & (self.bytes[a, at] == self.bytes[b, at])
+            found += same
+        return found
+
+    def verified(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The common extension of each pair, byte by byte."""
+        out = np.empty(len(a), np.int64)
+        for first in range(0, len(a), CHUNK):
+            x, y = a[first : first + CHUNK], b[first : first + CHUNK]
+            differ = self.bytes[x] != self.bytes[y]
+            out[first : first + CHUNK] = np.where(differ.any(axis=1), differ.argmax(axis=1), differ.shape[1])
+        return np.minimum(out, np.minimum(self.length[a], self.length[b]))
 
     def before(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether a < b, and whether a <= b."""
@@ -104,15 +129,12 @@ class Suffixes:
         order = self.order(begin, size)
         shared = self._shared(order, begin)
         x, y = order[1:], order[:-1]
-        # The bytes up to the extension are equal and the next differ, or hashes collided.
         if len(order) > 1:
-            equal = np.cumprod(self.bytes[x] == self.bytes[y], axis=1).sum(axis=1)
-            equal = np.minimum(equal, np.minimum(self.length[x], self.length[y]))
             inside = begin[1:] == begin[:-1]
-            if (equal[inside] != shared[1:][inside]).any():
+            equal = self.verified(x, y)
+            if (equal[inside] != shared[1:][inside]).any():  # hashes collided
                 order = np.array(sorted(range(len(order)), key=lambda i: (begin[i], self.bytes[i, : self.length[i]].tobytes())))
-                x, y = order[1:], order[:-1]
-                equal = np.minimum(np.cumprod(self.bytes[x] == self.bytes[y], axis=1).sum(axis=1), np.minimum(self.length[x], self.length[y]))
+                equal = self.verified(order[1:], order[:-1])
                 shared[1:] = np.where(inside, equal, -1)
         return order, shared
 

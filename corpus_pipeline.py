@@ -21,13 +21,12 @@ from cadenza.llm.bpe import round_trip
 from cadenza.llm.decontaminate import clean_documents
 from cadenza.llm.jaccard_groups import one_of_each
 from cadenza.llm.pii import redacted
-from cadenza.llm.quality import judged
+from cadenza.llm.quality import kept_documents
 from cadenza.session import cut
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marks = judged(docs, carry=docs.columns, prefix="_")
-    return marks.where("_kept").select(*docs.columns)
+    return kept_documents(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

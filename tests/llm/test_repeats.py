@@ -67,7 +67,7 @@ def made(seed):
     return texts
 
 
-@pytest.mark.parametrize("crowd", [4000, 3])
+@pytest.mark.parametrize("crowd", [repeats.CROWD, 3])
 def test_bytes(spark, crowd, monkeypatch):
     monkeypatch.setattr(repeats, "CROWD", crowd)
     texts = made(1)
@@ -76,7 +76,7 @@ def test_bytes(spark, crowd, monkeypatch):
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found] == brute_bytes(texts, 400)
 
 
-@pytest.mark.parametrize("crowd", [4000, 3])
+@pytest.mark.parametrize("crowd", [repeats.CROWD, 3])
 def test_words(spark, crowd, monkeypatch):
     monkeypatch.setattr(repeats, "CROWD", crowd)
     texts = made(2)
