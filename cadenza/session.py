@@ -69,6 +69,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows sent to a Python worker at once; documents may be long.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the rows of a batch, in the JVM and in Python workers, for long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 _SHIPPED: set[str] = set()
 
 
