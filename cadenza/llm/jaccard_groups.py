@@ -164,8 +164,14 @@ def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return named.join(_listed(wanted), "node", "left_semi")
 
 
+def _of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of some nodes, left out of the others before anything is shuffled."""
+    return texts.join(_listed(cut(nodes.distinct())), "node", "left_semi")
+
+
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of ``pairs`` (hub, node) whose token sets are similar."""
+    texts = _of(texts, pairs.select("node").union(pairs.select("hub")))
     counts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PER_SALT).cast("int").alias("salts"))
     salted = pairs.join(counts, "hub").select("hub", "node", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"))
     members = salted.join(texts, "node").select("hub", "salt", F.lit(1).alias("part"), "node", "body")
@@ -214,6 +220,7 @@ def queried(crowds: DataFrame, texts: DataFrame) -> DataFrame:
     tokens with the documents that have each; a query first counts the tokens it shares
     with the block's union, and only where these are enough are they counted by document.
     """
+    texts = _of(texts, crowds.select("node"))
     counts = cut(
         crowds.groupBy("crowd").agg(
             F.ceil(F.count("*") / PER_BLOCK).cast("int").alias("blocks"),

@@ -11,6 +11,7 @@ from cadenza.llm.pii import find_spans
 from cadenza.llm.quality import judged
 from cadenza.llm.quality_sql import QUALITY_SQL
 from cadenza.llm.url_filters import Rule, filter_urls
+from cadenza.session import small_batches
 
 QUERIES = {}
 
@@ -24,6 +25,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark, sf_dir: str, name: str):
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -41,7 +41,7 @@ BLOCK = 1_500
 #: Prefix hashes are kept for every so many bytes.
 STRIDE = 4
 #: Rows widened to hashes or comparisons at once.
-CHUNK = 1_000
+CHUNK = 500
 
 
 class Suffixes:

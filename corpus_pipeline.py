@@ -22,10 +22,11 @@ from cadenza.llm.decontaminate import clean_documents
 from cadenza.llm.jaccard_groups import one_of_each
 from cadenza.llm.pii import redacted
 from cadenza.llm.quality import kept_documents
-from cadenza.session import cut
+from cadenza.session import cut, small_batches
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return kept_documents(docs)
 
 
