@@ -92,17 +92,25 @@ def _possible(n: Column, rest: Column, m: Column, other_rest: Column) -> Column:
     return (100 + LEAST) * F.least(rest, other_rest) >= LEAST * (n + m)
 
 
+def _digest(text: str) -> Column:
+    """Tells the texts of a repeated or null id apart."""
+    return F.xxhash64(F.col(text))
+
+
 def nodes_of_documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, digest, n, node) of every row."""
+
     def run(batches):
         for batch in batches:
             nodes, sizes = [], []
             for tokens in token_sets(batch.column(1)):
                 sizes.append(len(tokens))
                 nodes.append(node_of(tokens) if len(tokens) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], names=["id", "n", "node"])
+            arrays = [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "digest", "n", "node"])
 
-    cases = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body"))
-    return cases.mapInArrow(run, f"id {cases.schema['id'].dataType.simpleString()}, n long, node long")
+    cases = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body"), _digest(text).alias("digest"))
+    return cases.mapInArrow(run, f"id {cases.schema['id'].dataType.simpleString()}, digest long, n long, node long")
 
 
 def _prefixes(docs: DataFrame, text: str, frequent: np.ndarray | None) -> DataFrame:
@@ -311,6 +319,8 @@ def _hub(column: str) -> list[Column]:
 #: The order in which entries are chosen as hubs: with the fewest tokens of their own
 #: before this one, as the original among edited copies has.
 _LEADS = "struct(n - rest AS own, node, n, rest)"
+#: The row kept of a component: ids before null, least id, least digest.
+_LEAST = "struct(id IS NULL AS none, id, digest)"
 #: `_possible` of a document and its token's hub.
 _WITH_HUB = f"{100 + LEAST} * least(rest, hub_rest) >= {LEAST} * (n + hub_n)"
 
@@ -319,8 +329,8 @@ def _groups(links: DataFrame) -> DataFrame:
     return components(links.select(F.col("hub").alias("a"), F.col("node").alias("b")))
 
 
-def linked(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id, the least id reachable by links."""
+def _placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, digest, n, label) of every row; label is the component, null without tokens."""
     named = cut(nodes_of_documents(docs, doc_id, text))
     first_docs, again = _representatives(docs, named, doc_id, text)
     frequent = frequent_tokens(first_docs, text)
@@ -349,25 +359,36 @@ def linked(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
     if not new.isEmpty():
         links = links.unionByName(new)
         groups = _groups(links)
-    placed = named.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return named.join(groups, "node", "left").select("id", "digest", "n", F.coalesce("label", "node").alias("label"))
+
+
+def linked(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: id, n_shingles, component_id, the least id reachable by links."""
+    placed = _placed(docs, doc_id, text)
     least = placed.where("label is not null").groupBy("label").agg(F.min("id").alias("least"))
     joined = placed.join(least, "label", "left")
     return joined.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are the least id of their component; of rows that
-    repeat an id, one."""
-    other = fresh("_id", docs.columns)
-    stays = F.col("component_id").eqNullSafe(F.col(doc_id)).alias("stays")
-    found = cut(linked(docs.select(doc_id, text), doc_id=doc_id, text=text).select(F.col(doc_id).alias(other), stays))
-    gone = cut(found.where("NOT stays").select(other).distinct())
-    again = cut(found.where("stays").groupBy(other).count().where(F.col("count") > 1).select(other))
-    same = F.col(doc_id).eqNullSafe(F.col(other))
+    """The rows of ``docs`` that hold their component's kept text: the least id's, or
+    where all ids are null the one of least digest; of rows that repeat an id and text, one.
+
+    Rows are told apart by id and text, so that other texts of an id, null or not, are
+    documents of their own and stay or go with their own components.
+    """
+    names = [fresh(c, docs.columns) for c in ("_id", "_digest")]
+    placed = cut(_placed(docs.select(doc_id, text), doc_id, text))
+    first = placed.where("label IS NOT NULL").groupBy("label").agg(F.min(F.expr(_LEAST)).alias("kept"))
+    mine = F.col("kept").isNull() | (F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("digest") == F.col("kept.digest")))
+    found = cut(placed.join(first, "label", "left").select(F.col("id").alias(names[0]), F.col("digest").alias(names[1]), mine.alias("stays")))
+    gone = cut(found.where("NOT stays").select(*names).distinct())
+    again = cut(found.where("stays").groupBy(*names).count().where(F.col("count") > 1).select(*names))
+    same = F.col(doc_id).eqNullSafe(F.col(names[0])) & (_digest(text) == F.col(names[1]))
     out = docs.join(_listed(gone), same, "left_anti")
     if again.isEmpty():
         return out
-    repeated = docs.join(_listed(again), same, "left_semi").dropDuplicates([doc_id])
+    repeated = docs.join(_listed(again), same, "inner").dropDuplicates(names).drop(*names)
     return out.join(_listed(again), same, "left_anti").unionByName(repeated)
 
 

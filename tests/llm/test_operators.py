@@ -187,6 +187,21 @@ def test_components_against_brute_force(spark, salt, rounds, monkeypatch):
     assert jaccard_groups.linked(docs.where("doc_id < 0")).count() == 0
 
 
+def test_texts_of_null_and_repeated_ids_stay_by_themselves(spark):
+    rng = random.Random(14)
+    prose = lambda: " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(60))
+    first, second, orphans = prose(), prose(), prose()
+    rows = [(1, first), (None, first + " tail"), (2, second), (3, second), (3, prose()), (4, prose()), (4, prose())]
+    rows += [(None, prose()), (None, prose()), (None, orphans), (None, orphans), (None, orphans + " tail"), (5, ""), (5, " "), (5, None), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_digest", F.lit(1)).withColumn("a.b", F.lit(2))
+    kept = jaccard_groups.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = [tuple(r) for r in kept.select("doc_id", "text").collect()]
+    assert sum((r[1] or "").startswith(orphans) for r in found) == 1
+    others = [r for i, r in enumerate(rows) if i not in (1, 3, 9, 10, 11, 15)]
+    assert sorted(str(r) for r in found if not (r[1] or "").startswith(orphans)) == sorted(map(str, others))
+
+
 def test_least_labels(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (102, 101), (7, 7)]
     found = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
