@@ -285,16 +285,19 @@ def queried(crowds: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _representatives(docs: DataFrame, named: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, bool]:
-    """The documents of least id among equal token sets, and whether some are repeated rows."""
-    copies = named.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first"), F.count("*").alias("times")).where("times > 1")
-    copies = cut(copies)
+    """The documents of one id and text among equal token sets, the least, and whether some
+    are repeated rows.  Other texts of a set-aside row's id stay."""
+    copies = named.where("node IS NOT NULL").groupBy("node").agg(F.min(F.expr(_LEAST)).alias("first"), F.count("*").alias("times")).where("times > 1")
+    copies = cut(copies.select("node", F.col("first.id").alias("first"), F.col("first.digest").alias("first_digest")))
     if copies.isEmpty():
         return docs.select(text), False
     docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body"))
-    same = named.join(_listed(copies.select("node", "first")), "node")
-    others = cut(same.where(~F.col("id").eqNullSafe(F.col("first"))).select(F.col("id").alias("_id")).distinct())
-    again = not same.where(F.col("id").eqNullSafe(F.col("first"))).groupBy("node").count().where("count > 1").isEmpty()
-    return docs.join(_listed(others), F.col("id").eqNullSafe(F.col("_id")), "left_anti").select(F.col("body").alias(text)), again
+    same = named.join(_listed(copies), "node")
+    kept = F.col("id").eqNullSafe(F.col("first")) & (F.col("digest") == F.col("first_digest"))
+    others = cut(same.where(~kept).select(F.col("id").alias("_id"), "digest").distinct())
+    again = not same.where(kept).groupBy("node").count().where("count > 1").isEmpty()
+    row = F.col("id").eqNullSafe(F.col("_id")) & (_digest("body") == F.col("digest"))
+    return docs.join(_listed(others), row, "left_anti").select(F.col("body").alias(text)), again
 
 
 def _hub_round(live: DataFrame, groups: DataFrame, tested: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -202,6 +202,15 @@ def test_texts_of_null_and_repeated_ids_stay_by_themselves(spark):
     assert sorted(str(r) for r in found if not (r[1] or "").startswith(orphans)) == sorted(map(str, others))
 
 
+def test_other_texts_of_a_copied_id_are_linked(spark):
+    rng = random.Random(15)
+    prose = lambda: " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(60))
+    copied, of_null, of_nine = prose(), prose(), prose()
+    rows = [(1, copied), (None, copied), (9, copied.upper()), (None, of_null), (5, of_null + " tail"), (9, of_nine), (7, of_nine + " tail"), (8, prose())]
+    found = jaccard_groups.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(str(r.component_id) for r in found) == sorted(map(str, (1, 1, 1, 5, 5, 7, 7, 8)))
+
+
 def test_least_labels(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (102, 101), (7, 7)]
     found = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
