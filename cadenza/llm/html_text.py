@@ -6,8 +6,10 @@ one per hundred characters; whole to its parent, half to the next, less further
 container's points are discounted by the share of its text inside links.  The best
 container is kept, widened to the article it lies in, and so are siblings with a fair
 share of its points.  Inside, everything is text but elements that are never part of an
-article: menus, headers, footers, sidebars, forms, scripts, styles, and those whose
-class, id or role names adverts, notices, comments and the like.
+article: menus, headers, footers, sidebars, forms, scripts, styles, and those that are
+hidden or whose class, id or role names adverts, notices, comments and the like.  Names
+may mislead ("no-sidebar" on the whole page), so they are judged when all points are
+known: an element that holds the article, or most of the page's points, stays.
 
 Character references are decoded, white space in a block becomes one space, blocks are
 trimmed and joined in page order by one space.  Null or empty pages, and pages without
@@ -45,8 +47,11 @@ OTHER = re.compile(
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 TAG = re.compile(r"""<(?:!--|([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*+)>|/([a-zA-Z][^\s/<>]*)[^<>]*>|([a-zA-Z][^\s/<>]*)([^<>]*)>|[!?][^<>]*>)""")
-NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+UNSHOWN = re.compile(r"display\s*:\s*none", re.I)
+#: Shares of the page's points that keep an element in spite of its name: one that only
+#: has such a word in a longer name, and one that is hidden or has just that name.
+DOUBTED, NAMED = 0.5, 0.8
 
 #: Shares of a paragraph's points for its parent, grandparent and so on.
 SHARES = (1.0, 0.5, 1 / 6, 1 / 9, 1 / 12)
@@ -55,17 +60,67 @@ SIBLING = 0.2
 SEMANTIC = {"article": 1.5, "main": 1.2}
 
 
+def doubt(attributes: str) -> int:
+    """0: nothing in the attributes speaks against the element, 1: a word inside a longer
+    class, id or role does, 2: such a name does, or it is hidden."""
+    most = 0
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name in ("class", "id", "role"):
+            if OTHER.search(value):
+                most = max(most, 1)
+                if any(OTHER.fullmatch(v) for v in value.split()):
+                    return 2
+        elif name == "hidden" and value.lower() != "false" or name == "aria-hidden" and value.lower() == "true":
+            return 2
+        elif name == "style" and UNSHOWN.search(value):
+            return 2
+    return most
+
+
 class Page:
     """Elements in the order of their start tags, and the text between."""
 
     def __init__(self, html: str):
         self.tag, self.parent, self.skip, self.last = ["body"], [-1], [False], []
+        self.doubt: dict[int, int] = {}
         self.chunks: list[tuple[int, str | None]] = []  # element and its text; None ends a block
         self.open = [0]
         self.counts = {"body": 1}
         self._read(html)
         while self.open:
             self._pop()
+        if self.doubt:
+            self._judge()
+
+    def _judge(self) -> None:
+        """Leave out the elements of doubtful names, but those that hold the article."""
+        n = len(self.tag)
+        chars, links, _, _ = sums = _sums(self)
+        held = _given(self, sums)
+        named = [False] * n  # inside an element of level 2
+        for node in range(1, n):
+            named[node] = named[self.parent[node]] or self.doubt.get(node) == 2
+        clean = [0.0 if inside else own for inside, own in zip(named, held, strict=True)]
+        for node in range(n - 1, 0, -1):
+            held[self.parent[node]] += held[node]
+            clean[self.parent[node]] += clean[node]
+        if not held[0]:
+            held = clean = [a - b for a, b in zip(chars, links, strict=True)]
+        main = [i for i in range(1, n) if self.tag[i] in SEMANTIC and not self.skip[i]]
+        main = [i for i in main if not named[i]] or [i for i in main if self.tag[i] == "main" or i not in self.doubt]
+        most = max((held[i] for i in main), default=0.0)
+        holds = [False] * n
+        for node in main:
+            holds[node] = held[node] >= SIBLING * most
+        for node in range(n - 1, 0, -1):
+            holds[self.parent[node]] |= holds[node]
+        for node in range(1, n):
+            if not self.skip[node]:
+                level = self.doubt.get(node, 0)
+                most = held[node] > (DOUBTED if level == 1 else NAMED) * held[0] or (level == 1 and clean[node] > DOUBTED * clean[0])
+                self.skip[node] = self.skip[self.parent[node]] or (level > 0 and not most and not holds[node])
+        self.chunks = [(node, text) for node, text in self.chunks if text is None or not self.skip[node]]
 
     def _pop(self) -> None:
         node = self.open.pop()
@@ -104,7 +159,9 @@ class Page:
         up = self.open[-1]
         skip = self.skip[up] or tag in NEVER
         if not skip and attributes and len(attributes) > 5:
-            skip = any(OTHER.search(a or b or c) for a, b, c in NAMED.findall(attributes)) or bool(HIDDEN.search(attributes))
+            level = doubt(attributes)
+            if level:
+                self.doubt[len(self.tag)] = level
         if not skip and tag == "header":
             skip = not self._in_article()
         self.open.append(len(self.tag))
@@ -178,18 +235,27 @@ def _sums(page: Page) -> tuple[list[int], list[int], list[int], list[bool]]:
     return chars, links, commas, own
 
 
+def _given(page: Page, sums) -> list[float]:
+    """The points that each paragraph passes on."""
+    chars, links, commas, own = sums
+    given = [0.0] * len(page.tag)
+    for node in range(1, len(given)):
+        tag = page.tag[node]
+        if page.skip[node] or not own[node] or tag in INLINE or not (tag in PARAGRAPHS or tag in ("div", "section", "article", "main")):
+            continue
+        given[node] = (1 + commas[node] + chars[node] / 100) * (1 - links[node] / max(1, chars[node]))
+    return given
+
+
 def containers(page: Page) -> list[int]:
     """The elements whose text is the article, in page order."""
     n = len(page.tag)
-    chars, links, commas, own = _sums(page)
+    chars, links, commas, own = sums = _sums(page)
     points = [0.0] * n
-    for node in range(1, n):
-        tag = page.tag[node]
-        if page.skip[node] or not own[node] or tag in INLINE or not (tag in PARAGRAPHS or tag in ("div", "section", "article", "main")):
+    for node, given in enumerate(_given(page, sums)):
+        if not given:
             continue
-        given = 1 + commas[node] + chars[node] / 100
-        given *= 1 - links[node] / max(1, chars[node])
-        up = node if tag not in PARAGRAPHS else page.parent[node]
+        up = node if page.tag[node] not in PARAGRAPHS else page.parent[node]
         for share in SHARES:
             if up < 0:
                 break

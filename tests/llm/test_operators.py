@@ -265,6 +265,25 @@ def test_main_text(spark):
     assert html_text.extract(df.where("page_id > 9")).count() == 0
 
 
+STORY = "<p>A first paragraph, with commas, and words.</p><p>A second one, as long, as the first.</p>"
+TOLD = "A first paragraph, with commas, and words. A second one, as long, as the first."
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["class=overflow-hidden", "class='a hidden-xs'", "class='layout no-sidebar'", "class=has-sidebar", "class='post comments-open'", "class=social-science"]
+    + ["id=search-results", "data-state='hidden'", "title='display:none'", "class=sidebar", "hidden"],
+)
+def test_names_do_not_drop_the_article(name):
+    beside = "<div class='sidebar'><p>Ads, here.</p></div><div hidden><p>Not shown, now.</p></div>"
+    talk = "<section id=comments>" + "<div><p>I, a reader, say, so, many, things, at, length, here.</p></div>" * 4 + "</section>"
+    assert html_text.main_text(f"<body><div {name}><div>{STORY}</div></div><div class=ad><p>Buy.</p></div>") == TOLD
+    assert html_text.main_text(f"<body><div {name}><article>{STORY}</article></div>{beside}{talk}") == TOLD
+    assert html_text.main_text(f"<body><div {name}><h2>Title</h2></div>") == "Title"
+    assert html_text.main_text(f"<body><div class=no-sidebar><div {name}><main>{STORY}</main></div>{beside}</div>") == TOLD
+    assert html_text.main_text(f"<body><div class=a><div>{STORY}</div></div>{talk}{beside}") == TOLD
+
+
 def test_long_and_deep_pages_end():
     for page in ("<div>" * 50_000 + "x, y", "<a '" * 50_000, "<p>a, b" * 50_000, "<!--" * 50_000, "</x>" * 50_000):
         html_text.main_text(page)
