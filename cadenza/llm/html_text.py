@@ -46,7 +46,10 @@ OTHER = re.compile(
 #: A start tag closes these, back to one of the limits.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
-TAG = re.compile(r"""<(?:!--|([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*+)>|/([a-zA-Z][^\s/<>]*)[^<>]*>|([a-zA-Z][^\s/<>]*)([^<>]*)>|[!?][^<>]*>)""")
+TAG = re.compile(r"""<(?:!--|([a-zA-Z][^\s/<>]*)|/([a-zA-Z][^\s/<>]*)[^<>]*>|[!?][^<>]*>)""")
+#: The rest of most start tags, whose quoted values hold no "<".
+REST = re.compile(r"""(?:[^<>"'=]|=\s*(?:"[^"<]*"|'[^'<]*')?)*+>""")
+STOP = re.compile(r"""[<>"']""")
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 UNSHOWN = re.compile(r"display\s*:\s*none", re.I)
 #: Shares of the page's points that keep an element in spite of its name: one that only
@@ -84,6 +87,8 @@ class Page:
     def __init__(self, html: str):
         self.tag, self.parent, self.skip, self.last = ["body"], [-1], [False], []
         self.doubt: dict[int, int] = {}
+        self.unclosed: set[str] = set()  # quotes that do not follow any more
+        self.failed: set[int] = set()  # places behind quoted values of what is no tag
         self.chunks: list[tuple[int, str | None]] = []  # element and its text; None ends a block
         self.open = [0]
         self.counts = {"body": 1}
@@ -184,24 +189,56 @@ class Page:
         if text and not self.skip[self.open[-1]]:
             self.chunks.append((self.open[-1], unescape(text) if "&" in text else text))
 
+    def _tag_end(self, html: str, at: int) -> int:
+        """Where the start tag ends whose name ends at ``at``; -1 if it is none.
+
+        A quoted value goes to its closing quote, whatever it holds; without one the quote
+        is a character like others.  No place is scanned twice after a failure.
+        """
+        if found := REST.match(html, at):
+            return found.end()
+        begin, places = at, []
+        while at not in self.failed and (found := STOP.search(html, at)):
+            mark, at = found[0], found.end()
+            if mark == ">":
+                return at
+            if mark == "<":
+                break
+            before = found.start() - 1
+            while before >= begin and html[before].isspace():
+                before -= 1
+            if before < begin or html[before] != "=" or mark in self.unclosed:
+                continue
+            end = html.find(mark, at)
+            if end < 0:
+                self.unclosed.add(mark)
+                continue
+            at = end + 1
+            places.append(at)
+        self.failed.update(places)
+        return -1
+
     def _read(self, html: str) -> None:
         at, done = 0, 0
         search = TAG.search
         while found := search(html, at):
             begin, at = found.span()
+            if found[1]:
+                name_end, at = at, self._tag_end(html, at)
+                if at < 0:
+                    at = name_end
+                    continue
             self._text(html[done:begin])
-            start = found[1] or found[4]
-            if start:
-                start = start.lower()
-                attributes = found[2] if found[1] else found[5]
+            if found[1]:
+                start, attributes = found[1].lower(), html[name_end : at - 1]
                 self._start(start, attributes)
                 if start in RAW:
                     end = RAW[start].search(html, at)
                     at = end.start() if end else len(html)
                 elif attributes.endswith("/") and start in ("svg", "math"):
                     self._end(start)
-            elif found[3]:
-                self._end(found[3].lower())
+            elif found[2]:
+                self._end(found[2].lower())
             elif html.startswith("<!--", begin):
                 end = html.find("-->", begin + 4)
                 at = end + 3 if end >= 0 else len(html)

@@ -284,6 +284,14 @@ def test_names_do_not_drop_the_article(name):
     assert html_text.main_text(f"<body><div class=a><div>{STORY}</div></div>{talk}{beside}") == TOLD
 
 
+def test_less_than_signs_in_quoted_values():
+    assert html_text.main_text(f"""<body><div><div>{STORY}</div><div class="sidebar" data-x="<p>a</p>"><p>Menu.</p></div></div>""") == TOLD
+    assert html_text.main_text("""<p>One <a title="x < y" href='a>b'>two</a>, three.</p><script data-x='<'>no</script>""") == "One two, three."
+    assert html_text.main_text("""<p>One <a title="x>two</a>, three.</p>""") == "One two, three."
+    for page in ("""<a x="<b" y="<b" """ * 50_000, """<a x="<b" y="<b" """ * 50_000 + "<", """<a x="<b""" * 50_000, """<a x='<b" y=" """ * 50_000):
+        html_text.main_text(page)
+
+
 def test_long_and_deep_pages_end():
     for page in ("<div>" * 50_000 + "x, y", "<a '" * 50_000, "<p>a, b" * 50_000, "<!--" * 50_000, "</x>" * 50_000):
         html_text.main_text(page)
