@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadenza.llm import phrase_dedup, suffix_dedup, warc
+from cadenza.llm import content_sort, periodic_runs, phrase_dedup, suffix_dedup, warc
 from cadenza.llm.bpe import round_trip
 from cadenza.llm.decontaminate import hit_counts
 from cadenza.llm.html_text import extract
@@ -161,3 +161,19 @@ FROM p LEFT JOIN first USING (digest)"""
 @query("op6_warc", _WARC_SQL)
 def op6(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op12_periodic_runs")
+def op12(spark, sf_dir):
+    return periodic_runs.run_report(periodic_runs.with_planted_period(table(spark, sf_dir, "documents")))
+
+
+_EXACT_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM t JOIN g USING (body)"""
+
+
+@query("op13_exact_dedup", _EXACT_SQL)
+def op13(spark, sf_dir):
+    return content_sort.groups(table(spark, sf_dir, "documents"), keep="largest")
