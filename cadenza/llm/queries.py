@@ -7,6 +7,7 @@ from cadenza.llm.bpe import round_trip
 from cadenza.llm.decontaminate import hit_counts
 from cadenza.llm.html_text import extract
 from cadenza.llm.jaccard_groups import linked
+from cadenza.llm.lexical_search import search
 from cadenza.llm.pii import find_spans
 from cadenza.llm.quality import judged
 from cadenza.llm.quality_sql import QUALITY_SQL
@@ -163,6 +164,28 @@ def op6(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+_SEARCH_SQL = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), lengths AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), whole),
+parts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))) AS part
+  FROM tf JOIN weights USING (term) JOIN lengths USING (doc_id), whole
+), scores AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM q JOIN parts USING (term) GROUP BY ALL),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10"""
+
+
+@query("op11_lexical_search", _SEARCH_SQL)
+def op11(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op12_periodic_runs")
 def op12(spark, sf_dir):
     return periodic_runs.run_report(periodic_runs.with_planted_period(table(spark, sf_dir, "documents")))
