@@ -3,25 +3,29 @@
 Writing.  A page's payload is its html in UTF-8.  Of records with equal payloads of at
 least ``LEAST_BYTES`` bytes the one with the largest id is the response and the others
 are revisits that name it; smaller payloads are all responses.  Only digests and ids
-are shuffled to find them, never payloads.  Files hold ``PER_FILE`` records at most and
-go through Spark's own writer, so a lost task leaves nothing behind.
+are shuffled to find them, never payloads.  Files go through Spark's own writer, so a
+lost task leaves nothing behind.  A file holds ``FILE_BYTES`` or less, or one record:
+records are written by classes of size, each with its own number to a file.
 
 Reading.  A record's head can only be told from the same bytes inside a payload by the
 chain of records that leads to it.  Tasks scan ranges of ``RANGE`` bytes for heads and
 emit each as a candidate: its offset, its successor's (from the declared length), and
 where the chain from it leaves the range.  From the start of every file, pointers over
 ranges then double (pointer jumping) until each range's entry is known; a walk inside
-each range from its entry names the records, and all other candidates fall away.
+each range from its entry names the records, and all other candidates fall away.  If a chain
+does not end where its file ends, reading raises an error and returns nothing; a round
+trip also compares the records read with the pages written.
 
 Null html is an empty payload.  Rows that repeat the largest id of equal payloads are
 all responses; a null id among equal payloads is a revisit unless all are null, and is
-read back as null.  An empty table gives no records.  A page may be of any length; a
-task holds one file.
+read back as null.  An empty table gives no records.  A page may be as long as a value of
+Spark can be, and so may its url; a task holds one file.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,10 +34,12 @@ from pyspark.sql import functions as F
 from cadenza.session import cut, work_path
 
 LEAST_BYTES = 1_000
-PER_FILE = 2_000
+#: Bytes that a file of more than one record may hold, and a record of the least class.
+FILE_BYTES = 128 << 20
+SMALL = 64 << 10
+#: How many times the bytes of a class the next one takes.
+STEP = 8
 RANGE = 1 << 20
-#: Bytes searched for the end of a head.
-HEAD = 1 << 20
 #: Payloads that occur twice, up to which their list is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -70,7 +76,13 @@ def write(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "
     )
     # A record ends with CR LF CR LF; the writer adds the last LF.
     record = F.concat(head, F.when(again, "").otherwise(F.col("payload")), F.lit("\r\n\r"))
-    placed.select(record.alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", PER_FILE).text(path)
+    most = F.octet_length("payload").cast("long") + F.octet_length(F.coalesce("url", F.lit(""))).cast("long") * 3 + 1_000
+    classes = F.greatest(F.lit(0), F.ceil(F.log(most / SMALL) / math.log(STEP))).cast("int")
+    # Few classes exist: one for each eightfold of bytes.
+    for kind in sorted(r[0] for r in rows.select(classes).distinct().collect()) or [0]:
+        per_file = max(1, FILE_BYTES // (SMALL * STEP**kind))
+        mine = placed.where(classes == kind).select(record.alias("value"))
+        mine.write.mode("append").option("lineSep", "\n").option("maxRecordsPerFile", per_file).text(path)
 
 
 def _field(head: bytes, name: bytes) -> bytes:
@@ -83,7 +95,7 @@ def _field(head: bytes, name: bytes) -> bytes:
 
 def _candidate(data: memoryview | bytes, at: int):
     """Successor, type, id, digest, size, reference of a head at ``at``; None if it is none."""
-    end = data.find(b"\r\n\r\n", at, at + HEAD)
+    end = data.find(b"\r\n\r\n", at)
     if end < 0:
         return None
     head = data[at : end + 2]
@@ -169,11 +181,21 @@ def reachable(found: DataFrame) -> DataFrame:
     return ranges.join(starts, ["file", "part"]).select("file", "heads", "start").mapInArrow(walk, "file string, offset long")
 
 
+def _whole(spark: SparkSession, path: str, records: DataFrame) -> None:
+    """Raises unless the chain of every file below ``path`` ends with the file."""
+    ends = records.groupBy("file").agg(F.max("next").alias("end"))
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select(F.col("path").alias("file"), "length")
+    broken = files.join(ends, "file", "left").where(~F.col("length").eqNullSafe(F.col("end"))).limit(3).collect()
+    if broken:
+        raise ValueError("records end before the file: " + ", ".join(f"{r.file} at {r.end} of {r.length}" for r in broken))
+
+
 def read(spark: SparkSession, path: str, id_type: str = "bigint", with_payload: bool = False) -> DataFrame:
     """The records below ``path``: page_id, payload_bytes and payload_digest of the full
     payload, record_type, refers_to, and the record's own payload where asked for."""
     found = cut(candidates(spark, path, with_payload))
     records = found.join(reachable(found), ["file", "offset"], "left_semi")
+    _whole(spark, path, records)
     identity = lambda c: F.when(F.col(c) != "", F.col(c)).cast(id_type)
     records = records.select(identity("name").alias("page_id"), "type", "digest", "size", identity("first").alias("refers_to"), *(["payload"] if with_payload else []))
     full = records.where("type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "digest").agg(F.max("size").alias("full"))
@@ -194,4 +216,7 @@ def round_trip(pages: DataFrame, *, page_id: str = "page_id", url: str = "url",
     """``pages`` written as archives in the shared folder and read back."""
     path = work_path(pages.sparkSession, "warc")
     write(pages, path, page_id=page_id, url=url, html=html)
-    return read(pages.sparkSession, path, pages.schema[page_id].dataType.simpleString())
+    found = cut(read(pages.sparkSession, path, pages.schema[page_id].dataType.simpleString()))
+    if (given := pages.count()) != (n := found.count()):
+        raise ValueError(f"{given} pages written, {n} records read")
+    return found

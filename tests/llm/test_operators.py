@@ -246,6 +246,30 @@ def test_archives_with_heads_inside_payloads(spark, monkeypatch):
     assert [r.record_type for r in warc.round_trip(ids).collect()] == ["response", "response"]
 
 
+def test_archives_of_long_records(spark, monkeypatch):
+    text = "<p>" + "long page " * 5_000_000
+    rows = [(0, "u", "a"), (1, "u" * 3_000_000, "b"), (2, "u", text), (3, None, "c" * 300_000), (4, "u", text), *((9 + i, "u", f"s{i}") for i in range(30))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 20)
+    found = {r.page_id: r for r in warc.round_trip(df).collect()}
+    assert {i: found[i].payload_bytes for i, *_ in rows} == {i: len(h) for i, _, h in rows}
+    assert (found[2].record_type, found[2].refers_to, found[4].record_type) == ("revisit", 4, "response")
+
+
+def test_broken_archives_are_no_silent_loss(spark, tmp_path):
+    path = str(tmp_path / "w")
+    warc.write(spark.createDataFrame([(i, "u", "x" * 900) for i in range(9)], "page_id long, url string, html string").coalesce(1), path)
+    (file,) = (tmp_path / "w").glob("part-*")
+    whole = file.read_bytes()
+    damaged = tmp_path / "d.warc"
+    for data in (whole[:-40], whole.replace(b"Content-Length", b"Content-Weight", 1), whole[:-2000] + b"WARC" + whole[-2000:]):
+        damaged.write_bytes(data)
+        with pytest.raises(ValueError, match="end before the file"):
+            warc.read(spark, str(damaged))
+    damaged.write_bytes(whole)
+    assert warc.read(spark, str(damaged)).count() == 9
+
+
 # --- HTML ---------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
