@@ -54,8 +54,12 @@ from d join w on d.account = w.account and w.window_start <= d.date group by 1,
 
 
 def _event_upcoming(spark, sf_dir):
+    return upcoming_of(A.table(spark, sf_dir, "events"))
+
+
+def upcoming_of(events):
     """Every event as a prediction of its user's event type, a week ahead."""
-    return A.table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("user_id").cast("string").alias("account_id"),
@@ -188,31 +192,39 @@ select user_id, account_id, cycle_id, predicted_date, cast(greatest(late, 0) as
 from late"""
 
 
-def feedback_state(spark, sf_dir):
-    """Errors delete a user's cycle, purchases confirm it or start another."""
-    latest = positions.latest_per_cycle(_event_upcoming(spark, sf_dir).where(F.col("predicted_description") != "signup"))
-    events = A.table(spark, sf_dir, "events")
-    feedback = events.select(
+def feedback_of(events):
+    """Every event as feedback: small values delete the cycle, large ones confirm it, others only
+    say that it was seen.  Feedback of signups is about a cycle that nothing predicts."""
+    cycle = F.when(F.col("event_type") == "signup", "manual").otherwise(F.col("event_type"))
+    return events.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("user_id").cast("string").alias("account_id"),
-        F.concat_ws("/", F.col("user_id"), F.col("event_type")).alias("cycle_id"),
-        F.struct(F.col("ts"), F.col("event_id")).alias("at"),
-        F.when(F.col("value") > 20, "confirm").otherwise("delete").alias("kind"),
+        F.concat_ws("/", F.col("user_id"), cycle).alias("cycle_id"),
+        F.col("ts").alias("at"),
+        "event_id",
+        F.when(F.col("value") > 20, "confirm").when(F.col("value") < 5, "delete").otherwise("seen").alias("kind"),
         F.col("ts").cast("date").alias("date"),
         F.col("value").alias("signed_amount"),
         F.col("event_type").alias("description"),
         F.lit(30).alias("period_days"),
-    ).where(F.col("event_type").isin("error", "purchase", "signup"))
-    return lifecycle.with_feedback(latest, feedback)
+    )
+
+
+def feedback_state(spark, sf_dir):
+    """Predictions beside the feedback that came about them."""
+    feedback = feedback_of(A.table(spark, sf_dir, "events"))
+    feedback = feedback.withColumn("at", F.struct("at", "event_id"))
+    return lifecycle.with_feedback(positions.latest_per_cycle(_event_upcoming(spark, sf_dir)), feedback)
 
 
 FEEDBACK_SQL = f"""
-with {_UPCOMING_SQL.replace('from events)', "from events where event_type <> 'signup')")},
+with {_UPCOMING_SQL},
 feedback as (
   select cast(user_id as varchar) as user_id, cast(user_id as varchar) as account_id,
-         user_id || '/' || event_type as cycle_id, case when value > 20 then 'confirm' else 'delete' end as kind,
+         user_id || '/' || case when event_type = 'signup' then 'manual' else event_type end as cycle_id,
+         case when value > 20 then 'confirm' when value < 5 then 'delete' else 'seen' end as kind,
          cast(ts as date) as f_date, value as f_amount, event_type as f_description
-  from events where event_type in ('error', 'purchase', 'signup')
+  from events
   qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1)
 select user_id, account_id, cycle_id,
        case when kind = 'confirm' then f_date else date end as date,
@@ -245,10 +257,11 @@ from g where not known"""
 
 
 def _given_replay(spark, sf_dir):
-    """Labelled events with a made-up detector: weekly anchored per event type."""
+    """Labelled events with a made-up detector: weekly anchored per event type, with a cycle for
+    all but small amounts."""
     tx = cut(A.labelled_events(spark, sf_dir))
-    found = _event_upcoming(spark, sf_dir).where(F.col("predicted_signed_amount") > 5)
-    return replay.enrich(tx, found)
+    cycle = F.when(F.col("predicted_signed_amount") > 5, F.col("cycle_id"))
+    return replay.enrich(tx, _event_upcoming(spark, sf_dir).withColumn("cycle_id", cycle))
 
 
 def replay_enriched(spark, sf_dir):
@@ -262,10 +275,9 @@ def replay_enriched(spark, sf_dir):
 _GIVEN_SQL = f"""{TX_SQL},
 {_UPCOMING_SQL},
   joined as (
-    select t.user_id, t.account_id, t.transaction_id, t.date, t.cycle_id as true_cycle_id, u.cycle_id,
-           u.predicted_date, u.predicted_signed_amount
-    from tx t left join (select * from upcoming where predicted_signed_amount > 5) u
-      using (user_id, account_id, transaction_id)),
+    select t.user_id, t.account_id, t.transaction_id, t.date, t.cycle_id as true_cycle_id,
+           case when u.predicted_signed_amount > 5 then u.cycle_id end as cycle_id, u.predicted_date, u.predicted_signed_amount
+    from tx t left join upcoming u using (user_id, account_id, transaction_id)),
   enriched as (
     select *, cast(case when true_cycle_id is not null then row_number() over a end as integer) as nth_in_cycle,
            coalesce(true_cycle_id is not null and row_number() over a = 1, false) as new_cycle,
@@ -320,15 +332,16 @@ select metric, value, floor, coalesce(value > floor, false) as passed from lines
 
 
 def rule_models() -> CycleModels:
-    """Plain rules as the three models, so that SQL can follow every step."""
+    """Plain rules as the three models, so that SQL can follow every step: a match is at most
+    two days off, and the more words of both descriptions are common, the better."""
 
     def is_next(df):
         gap = F.abs(F.date_diff("date", "predicted_date"))
         money = F.least(F.abs(F.col("signed_amount") - F.col("predicted_signed_amount")), F.lit(10.0))
-        alike = F.substring_index("description", " ", 1) == F.substring_index("predicted_description", " ", 1)
-        return df.withColumn(
-            "is_next_probability", F.when(alike & (gap <= 2), 0.99 - 0.01 * gap - 0.001 * money).otherwise(F.lit(0.0))
-        )
+        one, other = F.split("description", " "), F.split("predicted_description", " ")
+        alike = F.size(F.array_intersect(one, other)) / F.size(F.array_union(one, other))
+        score = F.lit(0.95) + F.lit(0.04) * alike - F.lit(0.004) * gap - F.lit(0.0004) * money
+        return df.withColumn("is_next_probability", F.when((alike >= 0.3) & (gap <= 2), score).otherwise(F.lit(0.0)))
 
     return CycleModels(
         has_cycle=lambda df: df.withColumn(
@@ -342,7 +355,7 @@ def rule_models() -> CycleModels:
     )
 
 
-def _event_transactions(events):
+def event_transactions(events):
     return events.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("user_id").cast("string").alias("account_id"),
@@ -353,7 +366,7 @@ def _event_transactions(events):
     )
 
 
-def _flat(upcoming):
+def flat(upcoming):
     """Dates as one text, and amounts as one of whole cents."""
     cents = F.transform("predicted_next_amounts", lambda a: F.round(a * 100).cast("long").cast("string"))
     return detection.formatted(upcoming).withColumns(
@@ -365,31 +378,32 @@ def _flat(upcoming):
 
 
 def predict_by_rules(spark, sf_dir):
-    return _flat(detection.predict(_event_transactions(A.table(spark, sf_dir, "events")), rule_models()))
+    return flat(detection.predict(event_transactions(A.table(spark, sf_dir, "events")), rule_models()))
 
 
 def _stream_of_events(spark, sf_dir):
     source = spark.readStream.schema(A.table(spark, sf_dir, "events").schema)
-    return _event_transactions(source.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    return event_transactions(source.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
 
 
 def stream_by_rules(spark, sf_dir):
     live = LiveDetection(rule_models(), work_path(spark, "live"))
     live.start(_stream_of_events(spark, sf_dir)).awaitTermination()
     live.finish(spark)
-    return _flat(live.upcoming(spark))
+    return flat(live.upcoming(spark))
 
 
 RULES_SQL = """
 with recursive tx as (
   select cast(user_id as varchar) as user_id, cast(event_id as varchar) as transaction_id, cast(ts as date) as date,
-         value as signed_amount, event_type || ' ' || props as description, event_type as kind from events),
+         value as signed_amount, event_type || ' ' || props as description,
+         list_distinct(string_split(event_type || ' ' || props, ' ')) as words from events),
 w as (
   select 1 as n, min(date) as opens from tx
   union all
   select n + 1, (select min(date) from tx where date > w.opens + interval 4 day) from w where w.opens is not null),
 folds as (
-  select 0 as n, '' as user_id, '' as transaction_id, '' as cycle_id, cast(null as date) as date, '' as kind,
+  select 0 as n, '' as user_id, '' as transaction_id, '' as cycle_id, cast(null as date) as date, cast([] as varchar[]) as words,
          '' as description, cast(null as date) as predicted_date, cast(null as double) as amount, cast(null as date) as d2
   union all
   (with known as (select * from folds),
@@ -399,23 +413,25 @@ folds as (
    today as (
      select tx.*, k.n from (select max(n) + 1 as n from known) k join w on w.n = k.n
      join tx on tx.date between w.opens and w.opens + interval 4 day),
+   scored as (
+     select t.user_id, t.transaction_id, l.cycle_id, l.date as previous, abs(date_diff('day', t.date, l.predicted_date)) as gap,
+            len(list_intersect(t.words, l.words)) / (len(t.words) + len(l.words) - len(list_intersect(t.words, l.words))) as alike,
+            least(abs(t.signed_amount - l.amount), 10.0::double) as money
+     from today t join latest l on t.user_id = l.user_id and abs(date_diff('day', t.date, l.predicted_date)) <= 2),
    matched as (
-     select t.user_id, t.transaction_id, l.cycle_id, l.date as previous
-     from today t join latest l on t.user_id = l.user_id and t.kind = l.kind
-      and abs(date_diff('day', t.date, l.predicted_date)) <= 2
-     qualify row_number() over (partition by t.user_id, t.transaction_id order by
-       0.99::double - 0.01::double * abs(date_diff('day', t.date, l.predicted_date))
-         - 0.001::double * least(abs(t.signed_amount - l.amount), 10.0::double) desc, l.cycle_id) = 1),
+     select *, 0.95::double + 0.04::double * alike - 0.004::double * gap - 0.0004::double * money as p from scored
+     where alike >= 0.3 and p > 0.95::double
+     qualify row_number() over (partition by user_id, transaction_id order by p desc, cycle_id) = 1),
    found as (
      select t.*, coalesce(m.cycle_id, case when t.signed_amount > 10
               then sha256(t.user_id || '|' || t.user_id || '|' || t.transaction_id || '|new') end) as cycle_id,
             case when m.previous is null then 7 else 6 end as step
      from today t left join matched m using (user_id, transaction_id))
-   select (select max(n) + 1 from known) as n, user_id, transaction_id, cycle_id, date, kind, description,
+   select (select max(n) + 1 from known) as n, user_id, transaction_id, cycle_id, date, words, description,
           predicted_date, amount, d2 from known
    where (select max(n) from known) < (select max(n) from w where opens is not null)
    union all
-   select n, user_id, transaction_id, cycle_id, date, kind, description,
+   select n, user_id, transaction_id, cycle_id, date, words, description,
           cast(date + to_days(step) as date), signed_amount, cast(date + to_days(step) as date)
    from found where cycle_id is not null))
 select transaction_id, user_id, user_id as account_id, cycle_id, strftime(date, '%Y-%m-%d') as date,

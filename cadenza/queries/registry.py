@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cadenza.queries import labelling, modelling, preparation, training
+from cadenza.queries import labelling, modelling, preparation, streams, training
 
 REGISTRY = {}
-for module in (preparation, labelling, training, modelling):
+for module in (preparation, labelling, training, modelling, streams):
     REGISTRY.update(module.QUERIES)

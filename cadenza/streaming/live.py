@@ -1,7 +1,8 @@
 """Detection over a stream of transactions (G8 live, G17).
 
 A micro-batch is not a window: rows wait until no row of their window can arrive
-any more, and then pass through the same step as in a batch run.
+any more, and then pass through the same step as in a batch run.  Spark's watermark
+on the date says when that is, and which rows are too late (`order`).
 
 Everything a batch leaves behind lies in folders named by its number: rows still
 waiting, the state, results, late rows, and a progress row.  Batch ``n`` reads
@@ -14,7 +15,7 @@ until another batch comes.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,20 +27,23 @@ from cadenza.models.pipelines import CycleModels
 from cadenza.operators.positions import latest_per_cycle
 from cadenza.plans.detection import INPUT, UPCOMING, UPCOMING_COLUMNS, empty_upcoming, run_windows
 from cadenza.plans.windows import window_map
+from cadenza.streaming.keyed import run
+from cadenza.streaming.order import marked
 
 _WAITING = (
     "user_id string, account_id string, transaction_id string, date date, signed_amount double,"
     " description string, has_cycle_probability double"
 )
-_PROGRESS = "done_until date, latest_date date"
+_PROGRESS = "done_until date, reached date"
 
 
 class LiveDetection:
     """One running detection.
 
-    ``base`` is a folder all executors share.  Rows dated on or before the last
-    processed window are too late: they go to a table of their own instead of
-    changing results already sent.
+    ``base`` is a folder all executors share.  Rows dated more than ``lateness_days``
+    before the latest date of the batches before, or in a window already processed,
+    are too late: they go to a table of their own instead of changing
+    results already sent.
     """
 
     def __init__(
@@ -55,14 +59,8 @@ class LiveDetection:
         self.lateness_days, self.days = lateness_days, days
 
     def start(self, transactions: DataFrame, **trigger) -> StreamingQuery:
-        trigger = trigger or {"availableNow": True}
-        return (
-            transactions.select(*INPUT)
-            .writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", f"{self.base}/stream")
-            .trigger(**trigger)
-            .start()
-        )
+        # A watermark is reached, not only passed: one day more keeps rows of the latest date in time.
+        return run(marked(transactions.select(*INPUT), self.lateness_days + 1), self.base, "detection", trigger, self.process)
 
     def _folder(self, kind: str, batch: int, final: bool = False) -> str:
         return f"{self.base}/{'final_' if final else ''}{kind}/batch={batch}"
@@ -83,20 +81,29 @@ class LiveDetection:
         return found.agg(F.max("batch")).first()[0]
 
     def process(self, rows: DataFrame, batch: int, last: bool = False) -> None:
-        """Take in one batch and process the windows it closes.
+        """Take in one batch and process the windows that the watermark has passed.
 
-        With ``last`` all windows are processed, upon what batch ``batch`` left.
+        ``rows`` may come marked (``late``, ``reached``); without marks the latest date of
+        this batch and the ones before stands for the watermark.  With ``last`` all windows
+        are processed, upon what batch ``batch`` left.
         """
         spark = rows.sparkSession
         previous = batch if last else batch - 1
         progress = self._before(spark, "progress", previous, _PROGRESS)
-        done_until, latest = progress.first() if progress is not None else (None, None)
+        done_until, reached = progress.first() if progress is not None else (None, None)
 
         rows = rows.persist()
-        newest = rows.agg(F.max("date")).first()[0]
-        latest = max((d for d in (latest, newest) if d is not None), default=None)
-        in_time = F.lit(True) if done_until is None else F.col("date") > F.lit(done_until)
-        rows.where(F.col("date").isNull() | ~in_time).write.mode("overwrite").parquet(self._folder("late", batch, last))
+        if "reached" in rows.columns:
+            passed = rows.agg(F.max("reached")).first()[0]
+            in_time = ~F.col("late")
+        else:
+            newest = rows.agg(F.max("date")).first()[0]
+            passed = newest and newest - timedelta(days=self.lateness_days + 1)
+            in_time = F.lit(True)
+        reached = max((d for d in (reached, passed) if d is not None), default=None)
+        if done_until is not None:
+            in_time &= F.col("date") > F.lit(done_until)
+        rows.where(F.col("date").isNull() | ~in_time).select(*INPUT).write.mode("overwrite").parquet(self._folder("late", batch, last))
 
         # Scored once, on arrival: the has-cycle model needs no state.
         fresh = self.models.has_cycle(rows.where(F.col("date").isNotNull() & in_time))
@@ -111,7 +118,7 @@ class LiveDetection:
 
         windows = window_map(arrived_rows, days=self.days)
         starts = [r[0] for r in windows.select("window_start").distinct().orderBy("window_start").collect()]
-        closed = [s for s in starts if last or self._is_closed(s, latest)]
+        closed = [s for s in starts if last or (reached is not None and s + timedelta(days=self.days) <= reached)]
         state = self._before(spark, "state", previous, UPCOMING)
         if state is None:
             state = empty_upcoming(spark) if self.prior is None else self.prior.select(*UPCOMING_COLUMNS)
@@ -126,13 +133,10 @@ class LiveDetection:
             done_until = closed[-1] + timedelta(days=self.days)
         left = arrived_rows if done_until is None else arrived_rows.where(F.col("date") > F.lit(done_until))
         left.write.mode("overwrite").parquet(self._folder("waiting", batch, last))
-        spark.createDataFrame([(done_until, latest)], _PROGRESS).write.mode("overwrite").parquet(
+        spark.createDataFrame([(done_until, reached)], _PROGRESS).write.mode("overwrite").parquet(
             self._folder("progress", batch, last)
         )
 
-    def _is_closed(self, start: date, latest: date | None) -> bool:
-        return latest is not None and start + timedelta(days=self.days + self.lateness_days) < latest
-
     def finish(self, spark: SparkSession) -> None:
         """Process what still waits, when no more rows will come for now."""
         newest = self._newest(spark, "progress")
