@@ -5,7 +5,7 @@ any more, and then pass through the same step as in a batch run.  Spark's waterm
 on the date says when that is, and which rows are too late (`order`).
 
 Everything a batch leaves behind lies in folders named by its number: rows still
-waiting, the state, results, late rows, and a progress row.  Batch ``n`` reads
+waiting, the manifest of the state, results, late rows, and a progress row.  Batch ``n`` reads
 the folders of ``n - 1`` and overwrites its own, so a batch that runs again after
 a failure gives the same result.  A batch counts once its progress row is written,
 which comes last; a detection that starts again on the same folder goes on from the
@@ -24,8 +24,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cadenza import fixed
 from cadenza.models.pipelines import CycleModels
-from cadenza.operators.positions import latest_per_cycle
 from cadenza.plans.detection import INPUT, UPCOMING, UPCOMING_COLUMNS, empty_upcoming, run_windows
+from cadenza.plans.state import MANIFEST, StateTable
 from cadenza.plans.windows import window_map
 from cadenza.streaming.keyed import run
 from cadenza.streaming.order import marked
@@ -119,16 +119,14 @@ class LiveDetection:
         windows = window_map(arrived_rows, days=self.days)
         starts = [r[0] for r in windows.select("window_start").distinct().orderBy("window_start").collect()]
         closed = [s for s in starts if last or (reached is not None and s + timedelta(days=self.days) <= reached)]
-        state = self._before(spark, "state", previous, UPCOMING)
-        if state is None:
-            state = empty_upcoming(spark) if self.prior is None else self.prior.select(*UPCOMING_COLUMNS)
-            state = latest_per_cycle(state)
-        state, parts = run_windows(
-            arrived_rows.join(windows, "date"), closed, state, self.models, self._folder("windows", batch, last), self.days
+        state = self._state(spark, previous)
+        name = f"batch={batch}{'-final' if last else ''}-"
+        parts = run_windows(
+            arrived_rows.join(windows, "date"), closed, state, self.models, self._folder("windows", batch, last), self.days, name
         )
         results = spark.read.schema(UPCOMING).parquet(*parts) if parts else empty_upcoming(spark)
         results.write.mode("overwrite").parquet(self._folder("upcoming", batch, last))
-        state.select(*UPCOMING_COLUMNS).write.mode("overwrite").parquet(self._folder("state", batch, last))
+        state.manifest().write.mode("overwrite").parquet(self._folder("manifest", batch, last))
         if closed:
             done_until = closed[-1] + timedelta(days=self.days)
         left = arrived_rows if done_until is None else arrived_rows.where(F.col("date") > F.lit(done_until))
@@ -137,6 +135,21 @@ class LiveDetection:
             self._folder("progress", batch, last)
         )
 
+    def _state(self, spark: SparkSession, batch: int | None, final: bool = False) -> StateTable:
+        folder = f"{self.base}/state"
+        if batch is not None and batch >= 0:
+            manifest = spark.read.schema(MANIFEST).parquet(self._folder("manifest", batch, final))
+            return StateTable.of_manifest(spark, folder, UPCOMING, manifest)
+        state = StateTable(spark, folder, UPCOMING)
+        if self.prior is not None:
+            state.add(self.prior.select(*UPCOMING_COLUMNS), "prior")
+        return state
+
+    def state(self, spark: SparkSession) -> DataFrame:
+        """The latest prediction of every cycle so far, however old."""
+        newest = self._newest(spark, "progress")
+        return self._state(spark, newest, newest is not None and self._newest(spark, "final_progress") == newest).rows()
+
     def finish(self, spark: SparkSession) -> None:
         """Process what still waits, when no more rows will come for now."""
         newest = self._newest(spark, "progress")
