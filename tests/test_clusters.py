@@ -129,3 +129,16 @@ def test_folding_and_char_grams(spark):
     one = spark.createDataFrame([("a bc",)], "t string").select(char_grams("t").alias("g")).first().g
     assert set(one) == {" a ", " bc "}
     assert len(accent_table()[0]) > 200
+
+
+def test_bitmaps_bound_what_is_shared(spark):
+    rng = random.Random(6)
+    rows = [("a", str(i), [rng.randrange(-(2**63), 2**63) for _ in range(rng.randint(1, 60))]) for i in range(40)]
+    rows += [("a", str(40 + i), rows[i][2][: len(rows[i][2]) // 2] + [rng.randrange(2**40) for _ in range(9)]) for i in range(40)]
+    df = spark.createDataFrame([(a, n, sorted(set(g))) for a, n, g in rows], "user_account_id string, node string, grams array<long>")
+    df = df.withColumn("n", F.size("grams").cast("long")).withColumns({name: clusters._bits(i) for i, name in enumerate(clusters.BITMAP)})
+    pairs = df.alias("l").join(df.alias("h"), F.expr("l.node < h.node"))
+    found = pairs.select(F.size(F.array_intersect("l.grams", "h.grams")).alias("shared"), clusters._most_shared("l", "h").alias("most"), F.least("l.n", "h.n").alias("n")).collect()
+    assert all(r.shared <= r.most <= r.n for r in found)
+    # The bound drops nearly all pairs that are no neighbours.
+    assert sum(r.most > 0.7 * r.n for r in found) < 0.05 * len(found)
