@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from cadenza.fixed import MAX_CYCLES_PER_GROUP, PERIODS
 from cadenza.operators.series import cap_cycles, label_cycles, summarise_cycles
+from cadenza.plans.repair import LabelStore
+from cadenza.session import cut, work_path
 from cadenza.sources import adapters as A
 
 
@@ -96,6 +98,16 @@ def labels_of_big_groups(spark, sf_dir):
     return label_cycles(A.customer_groups(spark, sf_dir), group_limit=3)
 
 
+def repaired_labels(spark, sf_dir):
+    """Labels of the lines up to a date, then of all: customers without a later line are not
+    searched again."""
+    store = LabelStore(work_path(spark, "labels"))
+    rows = cut(A.customer_groups(spark, sf_dir))
+    last = rows.agg(F.max("date")).first()[0]
+    store.update(rows.where(F.col("date") <= F.date_sub(F.lit(last), 365)))
+    return store.labelled(spark, store.update(rows))
+
+
 def _summary(adapter, rows_sql):
     sql = f"""with recursive {labels_sql(rows_sql)}
 select user_account_id, counterparty_cluster, cycle_id, cycle_period, count(*) as n_transactions,
@@ -170,6 +182,7 @@ QUERIES = {
     "cycle_labels_supplier": _labels(A.supplier_groups, A.SUPPLIER_GROUPS_SQL),
     "cycle_labels_repeated_keys": (labels_of_repeated_keys, _labels(None, REPEATED_KEYS_SQL)[1]),
     "cycle_labels_big_groups": (labels_of_big_groups, _labels(None, A.CUSTOMER_GROUPS_SQL)[1]),
+    "repaired_labels": (repaired_labels, _labels(None, A.CUSTOMER_GROUPS_SQL)[1]),
     "cycle_summary": _summary(A.event_groups, A.EVENT_GROUPS_SQL),
     "cycle_summary_customer": _summary(A.customer_groups, A.CUSTOMER_GROUPS_SQL),
     "cycle_cap": (cycle_cap, CYCLE_CAP_SQL),

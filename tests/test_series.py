@@ -148,3 +148,34 @@ def test_cap_on_given_labels_with_null_group(spark):
     )
     kept = series.cap_cycles(df, ["user_account_id", "g"]).where(F.col("cycle_id").isNotNull()).collect()
     assert [r.cycle_id for r in kept] == ["d"]
+
+
+def test_only_changed_groups_are_searched_again(spark):
+    from cadenza.plans.repair import LabelStore
+    from cadenza.session import work_path
+
+    rng = random.Random(12)
+    schema = "user_account_id string, counterparty_cluster string, transaction_pending_id string, date date, signed_amount double, note string"
+    rows = []
+    for g in range(12):
+        for i in range(rng.randint(3, 9)):
+            day = date(2022, 1, 1) + timedelta(days=7 * i + (rng.randrange(3) if g % 3 else 0))
+            rows.append((f"a{g % 5}", None if g == 4 else f"c{g}", f"{g}-{i}", day, 10.0, "n"))
+    store = LabelStore(work_path(spark, "labels"))
+
+    def check(given, changed):
+        df = spark.createDataFrame(rng.sample(given, len(given)), schema)
+        run = store.update(df)
+        assert {tuple(r) for r in store.searched(spark, run).collect()} == changed
+        whole = label_cycles(df)
+        assert sorted(map(str, store.labelled(spark, run).select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+
+    groups = {r[:2] for r in rows}
+    check(rows, groups)
+    check(rows, set())
+    more = (*rows[0][:2], "new", rows[0][3] + timedelta(days=70), 10.0, "n")
+    check([*rows, more], {rows[0][:2]})
+    # Equal rows in place of others, a group that goes, and one that comes back.
+    gone = [r for r in rows if r[:2] != rows[-1][:2]]
+    check([gone[0] if r == gone[1] else r for r in gone], {rows[0][:2]})
+    check(rows, {rows[0][:2], rows[-1][:2]})
