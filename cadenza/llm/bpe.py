@@ -5,11 +5,12 @@ higher priority that reach across its right end.  `Merges.lookahead` follows tho
 chains through the merge list and gives the most symbols a decision can depend on.
 With that many symbols seen beyond a token's end, no merge across the end can come any
 more: the token is stable, is emitted, and the rest is encoded independently.  A run
-of letters of any length so needs a buffer of fixed size.  Pieces of up to a buffer's
-length, nearly all, are encoded once and kept in a cache of bounded size.
+of letters of any length so needs a buffer of fixed size.  Every piece goes through it;
+ids of short pieces are kept in a cache of bounded size.
 
 Decoding.  `Decoder` is fed ids one at a time and gives text as soon as bytes make up
-whole characters; it holds at most three bytes.
+whole characters; it holds at most three bytes.  `JoinedDecoder` gives the form that the
+file itself names, tokens joined by spaces, and holds one bit.
 
 Texts are normalized and split as the tokenizer's file says (NFC, white space to one
 space, per-character lower case; contractions, runs of letters, single digits, runs of
@@ -25,7 +26,8 @@ import hashlib
 import json
 import os
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -115,7 +117,7 @@ class Merges:
 
 
 #: Ids of a piece, the same as text, and what they decode to.
-Piece = tuple[list[int], str, str]
+Piece = tuple[list[int], str]
 
 
 class WordBpe:
@@ -147,11 +149,8 @@ class WordBpe:
         symbols[-1] = self.last[data[-1]]
         if None in symbols:
             symbols = [s for s in symbols if s is not None]
-        if len(symbols) <= CHUNK + self.merges.lookahead:
-            ids = self.merges.apply(symbols)
-        else:
-            ids = list(self.merges.stream(iter(symbols), self.length))
-        found = (ids, " ".join(map(str, ids)), self.decode(ids))
+        ids = list(self.merges.stream(iter(symbols), self.length))
+        found = (ids, " ".join(map(str, ids)))
         if len(text) <= CHUNK:
             if len(self.cache) >= CACHE:
                 self.cache.clear()
@@ -177,7 +176,7 @@ class WordBpe:
 
     def encode(self, text: str | None) -> Iterator[int]:
         for pieces in self.parts(text):
-            for ids, _, _ in pieces:
+            for ids, _ in pieces:
                 yield from ids
 
     def parts(self, text: str | None) -> Iterator[list[Piece]]:
@@ -186,7 +185,7 @@ class WordBpe:
             return
         for between in self.around.split(text) if "<|" in text else (text,):
             if between in self.special:
-                yield [([self.special[between]], str(self.special[between]), between)]
+                yield [([self.special[between]], str(self.special[between]))]
                 continue
             for stretch in self.stretches(between):
                 get = self.cache.get
@@ -232,6 +231,25 @@ class Decoder:
         return left.decode(errors="replace")
 
 
+class JoinedDecoder:
+    """Ids in, the file's decoded form out: it has no decoder, so tokens are joined by spaces.
+
+    Its state is whether a token came before; ids may come in lists of any length, and ids
+    without a token give nothing.
+    """
+
+    def __init__(self, bpe: WordBpe):
+        self.token = bpe.tokens.get
+        self.began = False
+
+    def feed(self, ids: Iterable[int]) -> str:
+        text = " ".join(filter(None, map(self.token, ids)))
+        if not text:
+            return ""
+        lead, self.began = " " if self.began else "", True
+        return lead + text
+
+
 _LOADED: dict[str, WordBpe] = {}
 
 
@@ -269,8 +287,9 @@ def encode_column(df: DataFrame, *, doc_id: str, text: str = "text", name: str =
 def round_trip(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", name: str = "word_bpe_49k.json") -> DataFrame:
     """Per row: the id, n_tokens, and digests of the ids and of what they decode to.
 
-    Both digests are fed piece by piece; neither ids nor decoded text of a document
-    are ever held whole.
+    Both digests are fed stretch by stretch, the second one with what an incremental
+    decoder makes of the emitted ids; neither ids nor decoded text of a document are
+    ever held whole.
     """
 
     def run(batches):
@@ -278,12 +297,13 @@ def round_trip(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", nam
         for batch in batches:
             counts, ids_digest, text_digest = [], [], []
             for body in batch.column(1).to_pylist():
-                n, ids, back, lead = 0, hashlib.sha256(), hashlib.sha256(), ""
+                n, ids, back, lead, decoder = 0, hashlib.sha256(), hashlib.sha256(), "", JoinedDecoder(bpe)
                 for pieces in bpe.parts(body):
-                    if pieces:
-                        n += sum([len(p[0]) for p in pieces])
+                    emitted = list(chain.from_iterable([p[0] for p in pieces]))
+                    if emitted:
+                        n += len(emitted)
                         ids.update((lead + " ".join([p[1] for p in pieces if p[0]])).encode())
-                        back.update((lead + " ".join([p[2] for p in pieces if p[0]])).encode())
+                        back.update(decoder.feed(emitted).encode())
                         lead = " "
                 counts.append(n)
                 ids_digest.append(ids.hexdigest())
