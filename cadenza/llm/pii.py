@@ -257,10 +257,19 @@ def examples(texts: list[str], seed: int = 5, many: int = 4_000) -> tuple[np.nda
 
 
 def trained(docs: DataFrame, text: str = "text") -> Tagger:
-    """A model from stretches of the ``SAMPLE_ROWS`` texts of least hash."""
+    """A model from stretches of the ``SAMPLE_ROWS`` different texts of least hash.
+
+    A hash limit drawn from the number of rows leaves some four times as many before any
+    are sorted, so that no task sees more however many tasks there are.
+    """
+    texts = docs.where(F.col(text).isNotNull())
+    share = 4 * SAMPLE_ROWS / max(1, texts.count())
     key = F.xxhash64(text)
     stretch = F.substring(F.col(text), F.pmod(key, F.greatest(F.lit(1), F.length(text) - SAMPLE_CHARS)).cast("int") + 1, F.lit(SAMPLE_CHARS))
-    rows = docs.where(F.col(text).isNotNull()).select(key.alias("k"), stretch.alias("t")).orderBy("k", "t").limit(SAMPLE_ROWS).toArrow()
+    rows = texts.select(key.alias("k"), stretch.alias("t"))
+    if share < 1:
+        rows = rows.where(F.col("k") < F.lit(int(share * (1 << 64)) - (1 << 63)))
+    rows = rows.dropDuplicates(["k"]).orderBy("k", "t").limit(SAMPLE_ROWS).toArrow()
     model = Tagger(CLASSES, len(KINDS) + 1)
     model.fit(*examples(rows.column("t").to_pylist()), rounds=ROUNDS)
     return model

@@ -339,6 +339,49 @@ def test_encoding_as_the_library():
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_round_trip_as_the_library(spark, sf_dir):
+    """Both digests of the query against the library's own ids and decoding."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.tokenizer_path())
+    library.no_truncation()
+    library.no_padding()
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    rows += [(-1, None), (-2, ""), (-3, " \n"), (None, "a" * 5000), (-4, "word " * 60_000), (-4, "word " * 60_000), (-5, "x<|endoftext|><|startoftext|>é")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("id", "body", "ids", "n_tokens")})
+    found = {tuple(r) for r in bpe.round_trip(df).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    wanted = set()
+    for i, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        wanted.add((i, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
+    assert found == wanted
+    encoded = {(r.doc_id, tuple(r.ids)) for r in bpe.encode_column(df.drop("ids"), doc_id="doc_id").collect()}
+    assert {(i, len(x)) for i, x in encoded} == {w[:2] for w in wanted}
+
+
+def test_joined_decoder_takes_ids_in_any_lists():
+    words = bpe.tokenizer(bpe.tokenizer_path())
+    ids = [i for t in ("some plain words", "é<|endoftext|> 1 2") for i in words.encode(t)] + [10**9]
+    for size in (1, 2, 5, 100):
+        decoder = bpe.JoinedDecoder(words)
+        assert "".join(decoder.feed(ids[i : i + size]) for i in range(0, len(ids), size)) == words.decode(ids)
+    assert bpe.JoinedDecoder(words).feed([]) == ""
+
+
+def test_sample_for_training_is_small_before_it_is_sorted(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_ROWS", 50)
+    monkeypatch.setattr(pii, "ROUNDS", 1)
+    seen = []
+    monkeypatch.setattr(pii, "examples", lambda texts: seen.append(texts) or real(texts, many=8))
+    texts = ["the same text"] * 3000 + [f"text number {i}" for i in range(3000)] + [None]
+    pii.trained(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert 40 <= len(seen[0]) <= 50 and len(set(seen[0])) == len(seen[0])
+
+
+real = pii.examples
+
+
 def test_stream_holds_little_and_decoder_completes():
     own = bpe.tokenizer(bpe.tokenizer_path())
     decoder = bpe.Decoder(own)
