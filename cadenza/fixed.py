@@ -74,6 +74,17 @@ TEXT_BUCKETS = 40_000
 LOOKAHEAD_STEPS = 4
 AMOUNT_DIFFERENCE_CLIP = 10
 EARLY_STOPPING_ROUNDS = 10
+BOOSTING_ROUNDS = 100
+HAS_CYCLE_STEP = 0.1844995924535978
+HAS_CYCLE_BINS = 60
+HAS_CYCLE_LEAF_ROWS = 26
+HAS_CYCLE_COLUMNS = 0.48506021034708374
+HAS_CYCLE_L1 = 6.552391941686875e-07
+HAS_CYCLE_L2 = 0.0001611143518293986
+NEXT_DATE_STEP = 0.15664864795508857
+NEXT_DATE_BINS = 215
+NEXT_DATE_LEAF_ROWS = 649
+NEXT_DATE_COLUMNS = 0.7899505481564448
 
 # Replay and life cycle of a prediction.
 WINDOW_DAYS = 4

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cadenza.fixed import METRIC_FLOORS
+from cadenza.fixed import EARLY_STOPPING_ROUNDS, METRIC_FLOORS
+from cadenza.models import boosting
 from cadenza.models.pipelines import CycleModels, Settings
 from cadenza.operators import positions, sampling
 from cadenza.plans import detection, lifecycle, replay
@@ -443,6 +445,63 @@ select transaction_id, user_id, user_id as account_id, cycle_id, strftime(date,
        rtrim(repeat(cast(cast(round(amount * 100) as bigint) as varchar) || ',', 4), ',') as predicted_next_amounts
 from folds where n = (select max(n) from w where opens is not null) and transaction_id <> ''"""
 
+# --- parts of the boosted models ----------------------------------------------------
+
+
+def median_leaves(spark, sf_dir):
+    """Each event's distance from 10 as a residual, its type and hour as a leaf."""
+    events = A.table(spark, sf_dir, "events").select(
+        "event_type", F.hour("ts").alias("hour"), (F.col("value") - 10).alias("residual")
+    )
+    return boosting.median_leaves(events, ["event_type", "hour"], "residual")
+
+
+MEDIAN_LEAVES_SQL = f"""
+select event_type, cast(hour(ts) as integer) as hour,
+       quantile_cont(round((value - 10) * {boosting.GRID}), 0.5) / {boosting.GRID} as value
+from events where value is not null group by all"""
+
+
+def newton_leaves(spark, sf_dir):
+    """Purchases against even odds: gradient and curvature per user and hour, in whole numbers."""
+    events = A.table(spark, sf_dir, "events").select(
+        "user_id",
+        F.hour("ts").alias("hour"),
+        F.when(F.col("event_type") == "purchase", F.lit(1.0)).otherwise(F.lit(-1.0)).alias("g"),
+        F.lit(1.0).alias("h"),
+    )
+    found = boosting.newton_leaves(events, ["user_id", "hour"], "g", "h", 0.5, 0.25)
+    return found.withColumn("value", F.round("value", 9))
+
+
+NEWTON_LEAVES_SQL = """
+select user_id, cast(hour(ts) as integer) as hour,
+       round(case when sum(s) > 0.5 then sum(s) - 0.5 when sum(s) < -0.5 then sum(s) + 0.5 else 0.0 end::double
+         / (count(*) + 0.25), 9) as value
+from (select *, case when event_type = 'purchase' then 1 else -1 end as s from events) group by all"""
+
+
+def early_stopping(spark, sf_dir):
+    """Hourly mean values of each user's events as the losses of rounds."""
+    hours = A.table(spark, sf_dir, "events").groupBy("user_id", F.unix_timestamp(F.date_trunc("hour", "ts")).alias("at")).agg(
+        F.round(F.avg("value"), 6).alias("loss")
+    )
+    order = Window.partitionBy("user_id").orderBy("at")
+    losses = hours.select("user_id", "loss", (F.row_number().over(order) - 1).alias("round"))
+    return boosting.kept_rounds(losses, ["user_id"])
+
+
+EARLY_STOPPING_SQL = f"""
+with hours as (select user_id, date_trunc('hour', ts) as hour_start, round(avg(value), 6) as loss from events group by all),
+  losses as (select user_id, loss, cast(row_number() over (partition by user_id order by hour_start) - 1 as integer) as round from hours),
+  bests as (
+    select a.user_id, a.round, min(b.loss) as least, arg_min(b.round, (b.loss, b.round)) filter (b.loss is not null) as best
+    from losses a join losses b on a.user_id = b.user_id and b.round <= a.round group by all),
+  ends as (
+    select user_id, coalesce(min(round) filter (round - best >= {EARLY_STOPPING_ROUNDS}), max(round)) as round
+    from bests group by user_id)
+select user_id, best as kept, least as loss from bests join ends using (user_id, round)"""
+
 # --- fitted models ------------------------------------------------------------------
 
 _FITTED: dict = {}
@@ -513,6 +572,9 @@ QUERIES = {
     "release_gate": (release_gate, GATE_SQL),
     "predict_by_rules": (predict_by_rules, RULES_SQL),
     "stream_by_rules": (stream_by_rules, RULES_SQL),
+    "median_leaves": (median_leaves, MEDIAN_LEAVES_SQL),
+    "newton_leaves": (newton_leaves, NEWTON_LEAVES_SQL),
+    "early_stopping": (early_stopping, EARLY_STOPPING_SQL),
     "has_cycle_model": (has_cycle_model, None),
     "next_date_model": (next_date_model, None),
     "is_next_model": (is_next_model, None),
