@@ -7,8 +7,9 @@ one micro-batch and no earlier date after it.  A row behind the watermark is han
 once, marked ``late``.  The watermark is Spark's own and lies in the checkpoint, so a
 stream that starts again, or a batch that runs again, decides as before.
 
-The state is keyed by date and key columns, and by a hash slice, so that neither a busy
-date nor a hot account is one value; each is forgotten when its date is reached.
+The state is keyed by date and by a hash slice of the key columns and the row, so that
+neither a busy date nor a hot account is one value, and there are as many keys as dates
+and slices, however many accounts; each is forgotten when its date is reached.
 """
 
 from __future__ import annotations
@@ -16,27 +17,30 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import AtomicType, BinaryType, NullType, TimestampType
 
-from cadenza.streaming.keyed import reached_day, wake_on, with_event_day
+from cadenza.streaming.keyed import PackedRows, bucket_of, reached_day, wake_on, with_event_day
 
 SLICES = 16
+#: Of a date whose rows wait: as many values, each with its share of the date's rows.
+WAITING_SLICES = 64
 #: Stands for a missing date: no day is before it.
 NO_DAY = -(1 << 31)
 
 
 class Waiting(StatefulProcessor):
-    """Rows of one date, key and slice until the date is reached."""
+    """Rows of one date and slice until the date is reached."""
 
     def __init__(self, names: list[str]):
         self.names = names
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", _strings(self.names))
+        self.rows = PackedRows(handle, "rows", _strings(self.names))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         day, reached = key[0], reached_day(timerValues)
@@ -45,11 +49,12 @@ class Waiting(StatefulProcessor):
             if day == NO_DAY or (reached is not None and day <= reached):
                 yield part.assign(day=day, late=True)
             else:
-                self.rows.appendList(list(part.itertuples(index=False, name=None)))
+                self.rows.append(pa.RecordBatch.from_pandas(part, schema=self.rows.schema, preserve_index=False))
                 wake_on(self.handle, day)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame(list(self.rows.get()), columns=self.names).assign(day=key[0], late=False)
+        for batch in self.rows.batches():
+            yield batch.to_pandas().assign(day=key[0], late=False)
         self.rows.clear()
 
     def close(self) -> None:
@@ -91,12 +96,13 @@ class _Carried:
         self.names = [f"c{i}" for i, f in enumerate(self.fields) if f.name != date]
 
     def out(self, rows: DataFrame, delay_days: int, by: list[str], slices: int) -> DataFrame:
-        """c0, c1, ..., day, key columns and slice."""
+        """c0, c1, ..., day and slice."""
         timed = with_event_day(rows, delay_days, self.date)
         held = [self._text(f).alias(f"c{i}") for i, f in enumerate(self.fields) if f.name != self.date]
         keys = [F.col(c).cast("string").alias(f"key_{i}") for i, c in enumerate(by)]
         flat = timed.select(*held, *keys, F.coalesce("day", F.lit(NO_DAY)).alias("day"))
-        return flat.withColumn("slice", F.pmod(F.xxhash64(*self.names), F.lit(slices)))
+        sliced = flat.withColumn("slice", bucket_of([*(f"key_{i}" for i in range(len(by))), *self.names], slices))
+        return sliced.select(*self.names, "day", "slice")
 
     @staticmethod
     def _text(field):
@@ -129,9 +135,9 @@ def marked(rows: DataFrame, delay_days: int, date: str = "date", slices: int = S
     return found.select(*carried.back(), "late", dated("reached").alias("reached"))
 
 
-def in_order(rows: DataFrame, by: list[str], delay_days: int, date: str = "date", slices: int = SLICES) -> DataFrame:
+def in_order(rows: DataFrame, by: list[str], delay_days: int, date: str = "date", slices: int = WAITING_SLICES) -> DataFrame:
     """The stream ``rows`` with ``late``; rows without a date are late."""
     carried = _Carried(rows, date)
-    keyed = carried.out(rows, delay_days, by, slices).groupBy("day", *(f"key_{i}" for i in range(len(by))), "slice")
+    keyed = carried.out(rows, delay_days, by, slices).groupBy("day", "slice")
     found = keyed.transformWithStateInPandas(Waiting(carried.names), f"{_strings(carried.names)}, day int, late boolean", "update", "eventTime")
     return found.select(*carried.back(), "late")
