@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from cadenza.session import work_path
-from cadenza.streaming import order
+from cadenza.streaming import expiry, order
 from cadenza.streaming.keyed import run
 
 ROWS = 4_000
@@ -34,3 +34,8 @@ def held(query):
 def test_rows_of_many_accounts_wait_in_few_values(spark, tmp_path):
     rows = order.in_order(upcoming(spark, tmp_path), ["transaction_id"], 2)
     assert 0 < held(run(rows, work_path(spark, "state"), "rows", {})) < ROWS
+
+
+def test_late_payments_of_many_cycles_in_few_values(spark, tmp_path):
+    base = work_path(spark, "state")
+    assert 0 < held(expiry.start(upcoming(spark, tmp_path), base, 2)) < ROWS
