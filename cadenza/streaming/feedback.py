@@ -1,6 +1,7 @@
 """Predictions and user feedback as two streams over one keyed state.
 
-The state of a cycle is its latest prediction and its latest feedback event.  Both are
+The state of a cycle is its latest prediction and its latest feedback event; the states of
+a hash bucket of cycles are one key's.  Both are
 maxima of what came, over orders that the rows carry themselves, so the state does not
 depend on which stream is read first, in which order rows come or how often.  After
 every change the merged row of the cycle is sent again; of a cycle the row of the last
@@ -17,14 +18,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from cadenza.operators.positions import CYCLE
-from cadenza.streaming.keyed import run, written
+from cadenza.streaming.keyed import PackedRows, bucket_of, run, written
 
 #: A prediction and a feedback event; their fields from the first on order them.
 _PREDICTION = "predicted long, day long, transaction_id string, amount double, description string"
 _FEEDBACK = "at long, event_id long, kind string, day long, amount double, description string, period long"
 #: Stands for a missing whole number: pandas would turn a column with nulls into floats.
 NONE = -(1 << 62)
-_MERGED = "user_id string, account_id string, cycle_id string, day int, predicted int, amount double, description string, status string"
+_CYCLE = "user_id string, account_id string, cycle_id string"
+#: A row of the state: which of the two it is (0, 1), then the fields of both; the other's are missing.
+_STATE = f"{_CYCLE}, which int, " + ", ".join(
+    f"{side}_{f}" for side, fields in (("p", _PREDICTION), ("f", _FEEDBACK)) for f in fields.split(", ")
+)
+BUCKETS = 512
+_MERGED = f"{_CYCLE}, day int, predicted int, amount double, description string, status string"
 STATE = (
     "user_id string, account_id string, cycle_id string, date date, predicted_date date,"
     " predicted_signed_amount double, predicted_description string, status string"
@@ -48,27 +55,31 @@ def _order(row: tuple) -> tuple:
 
 
 class Merge(StatefulProcessor):
-    """Latest prediction and latest feedback of one cycle."""
+    """Latest prediction and latest feedback of each cycle of a bucket."""
 
     def init(self, handle) -> None:
-        self.prediction = handle.getValueState("prediction", _PREDICTION)
-        self.feedback = handle.getValueState("feedback", _FEEDBACK)
+        self.state = PackedRows(handle, "cycles", _STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        prediction = tuple(self.prediction.get()) if self.prediction.exists() else None
-        feedback = tuple(self.feedback.get()) if self.feedback.exists() else None
+        latest: dict[tuple, list[tuple | None]] = {}
+        for r in self.state.rows():
+            latest.setdefault(r[:3], [None, None])[r[3]] = r[4:9] if r[3] == 0 else r[9:]
+        touched: dict[tuple, None] = {}
         for part in rows:
-            for is_feedback, *row in part[["is_feedback", *_COLUMNS]].itertuples(index=False, name=None):
+            for *cycle, is_feedback, row in zip(
+                *(part[c].tolist() for c in _names(_CYCLE)), part["is_feedback"].tolist(), part[_COLUMNS].itertuples(index=False, name=None), strict=True
+            ):
+                cycle = tuple(cycle)
                 given = dict(zip(_COLUMNS, (None if v == NONE or v != v else v for v in row), strict=True))
-                if is_feedback:
-                    feedback = _larger(feedback, tuple(given[n] for n in _names(_FEEDBACK)))
-                else:
-                    prediction = _larger(prediction, tuple(given[n] for n in _names(_PREDICTION)))
-        if prediction:
-            self.prediction.update(prediction)
-        if feedback:
-            self.feedback.update(feedback)
-        merged = pd.DataFrame([(*key, *self._merged(prediction, feedback))], columns=_names(_MERGED))
+                names = _names(_FEEDBACK if is_feedback else _PREDICTION)
+                known = latest.setdefault(cycle, [None, None])
+                known[int(is_feedback)] = _larger(known[int(is_feedback)], tuple(given[n] for n in names))
+                touched[cycle] = None
+        none = (None,) * len(_names(_PREDICTION)), (None,) * len(_names(_FEEDBACK))
+        self.state.put(
+            [(*c, 0, *p, *none[1]) for c, (p, _) in latest.items() if p] + [(*c, 1, *none[0], *f) for c, (_, f) in latest.items() if f]
+        )
+        merged = pd.DataFrame([(*c, *self._merged(*latest[c])) for c in touched], columns=_names(_MERGED))
         yield merged.astype({"day": "Int32", "predicted": "Int32"})
 
     @staticmethod
@@ -87,7 +98,7 @@ class Merge(StatefulProcessor):
         pass
 
 
-def merged(upcoming: DataFrame, feedback: DataFrame) -> DataFrame:
+def merged(upcoming: DataFrame, feedback: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Two streams as one of merged rows.
 
     ``upcoming``: cycle, date, transaction, predicted date, amount and description.
@@ -108,7 +119,8 @@ def merged(upcoming: DataFrame, feedback: DataFrame) -> DataFrame:
         feedback, True, at=F.unix_micros(F.col("at").cast("timestamp")), event_id=F.col("event_id"), kind=F.col("kind"),
         day=F.unix_date("date"), amount=F.col("signed_amount"), description=F.col("description"), period=F.col("period_days"),
     )
-    rows = left.unionByName(right).groupBy(*CYCLE).transformWithStateInPandas(Merge(), _MERGED, "update", "none")
+    rows = left.unionByName(right).withColumn("bucket", bucket_of(CYCLE, buckets)).groupBy("bucket")
+    rows = rows.transformWithStateInPandas(Merge(), _MERGED, "update", "none")
     return rows.select(
         *CYCLE,
         F.date_from_unix_date("day").alias("date"),
