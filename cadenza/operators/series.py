@@ -317,14 +317,16 @@ def _search_in_rounds(thin: DataFrame, cap: int) -> DataFrame:
 
     for which, (period, error) in enumerate(_HALF_DAYS):
         after = found.select("g", F.lit(None).cast(f"struct<day:bigint,key:{key}>").alias("after"))
+        open_groups = found.where(F.col("found") <= cap)
+        free = cut(rows.join(open_groups, "g", "left_semi").join(used, ["g", "day", "key"], "left_anti"))
         while True:
-            open_groups = found.where(F.col("found") <= cap)
-            free = cut(rows.join(open_groups, "g", "left_semi").join(used, ["g", "day", "key"], "left_anti"))
             first = cut(_first_start(free, after, period, error))
             if first.isEmpty():
                 break
             # One cycle more than the cap: it need not be followed, none is kept.
-            more = first.join(found, "g").where(F.col("found") < cap).select("g", "start", "amount")
+            more = cut(first.join(found, "g").where(F.col("found") < cap).select("g", "start", "amount"))
+            # A group without a start has none later in this period, so only these go on.
+            free = cut(free.join(more, "g", "left_semi"))
             members = _followed(more, free, period, error)
             code = (F.col("found") * len(PERIODS) + which).cast("int").alias("code")
             used = cut(used.unionByName(members.join(found, "g").select("g", "day", "key", code)))
@@ -333,9 +335,8 @@ def _search_in_rounds(thin: DataFrame, cap: int) -> DataFrame:
                     "g", (F.col("found") + F.coalesce("one", F.lit(0))).alias("found")
                 )
             )
-            after = cut(
-                after.join(first.select("g", "start"), "g", "left").select("g", F.coalesce("start", "after").alias("after"))
-            )
+            after = more.select("g", F.col("start").alias("after"))
+            free = cut(free.join(members, ["g", "day", "key"], "left_anti"))
 
     kept = used.join(found.where(F.col("found") <= cap), "g", "left_semi").join(names, "g")
     return _decoded(
@@ -346,6 +347,12 @@ def _search_in_rounds(thin: DataFrame, cap: int) -> DataFrame:
     )
 
 
+def _window(day: Column, period: int, error: int) -> Column:
+    """The days of a window in half days: whole days are the even ones."""
+    low, high = period - error, period + error
+    return F.sequence(day + (low + low % 2), day + high, F.lit(2).cast("bigint"))
+
+
 def _first_start(free: DataFrame, after: DataFrame, period: int, error: int) -> DataFrame:
     """(g, start, amount): per group the first free row past ``after`` that begins a cycle."""
     kinds = free.groupBy("g", "day", "amount").agg(F.min("key").alias("key"))
@@ -353,12 +360,16 @@ def _first_start(free: DataFrame, after: DataFrame, period: int, error: int) ->
     starts = free.join(after, "g").where(F.col("after").isNull() | (place > F.col("after")))
     starts = starts.groupBy("g", "day", "amount").agg(F.min("key").alias("key"))
     days = free.select("g", "day").distinct()
-    asked = starts.select(
-        "g",
-        F.struct("day", "key", "amount").alias("start"),
-        F.explode(F.sequence(F.col("day") + period - error, F.col("day") + period + error)).alias("day"),
-        F.col("amount"),
-    ).join(days, ["g", "day"], "left_semi")
+    # Stored, as few starts have a row in their window: rows of other days need not be sorted.
+    asked = cut(
+        starts.select(
+            "g",
+            F.struct("day", "key", "amount").alias("start"),
+            F.explode(_window(F.col("day"), period, error)).alias("day"),
+            F.col("amount"),
+        ).join(days, ["g", "day"], "left_semi")
+    )
+    kinds = kinds.join(asked, ["g", "day"], "left_semi")
     none = F.lit(None)
     both = kinds.select("g", "day", "amount", "key", none.cast(dict(asked.dtypes)["start"]).alias("start"), F.lit(0).alias("asks")).unionByName(
         asked.select("g", "day", "amount", none.cast(dict(kinds.dtypes)["key"]).alias("key"), "start", F.lit(1).alias("asks"))
@@ -376,7 +387,7 @@ def _first_start(free: DataFrame, after: DataFrame, period: int, error: int) ->
         .agg(F.min(F.struct(F.abs(F.col("hit.amount") - F.col("amount")).alias("d"), "day", "hit.key"))["day"].alias("then"))
     )
     third = second.select(
-        "g", "start", F.explode(F.sequence(F.col("then") + period - error, F.col("then") + period + error)).alias("day")
+        "g", "start", F.explode(_window(F.col("then"), period, error)).alias("day")
     ).join(days, ["g", "day"], "left_semi")
     best = third.groupBy("g").agg(F.min("start").alias("s"))
     return best.select("g", F.struct("s.day", "s.key").alias("start"), F.col("s.amount").alias("amount"))
@@ -388,7 +399,7 @@ def _followed(first: DataFrame, free: DataFrame, period: int, error: int) -> Dat
     members = ends.select("g", "day", "key")
     while not ends.isEmpty():
         windows = ends.select(
-            "g", "total", "n", F.explode(F.sequence(F.col("day") + period - error, F.col("day") + period + error)).alias("day")
+            "g", "total", "n", F.explode(_window(F.col("day"), period, error)).alias("day")
         )
         distance = F.abs(F.col("amount") - F.col("total") / F.col("n"))
         hits = free.join(windows, ["g", "day"]).groupBy("g", "total", "n")
