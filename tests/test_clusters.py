@@ -142,3 +142,29 @@ def test_bitmaps_bound_what_is_shared(spark):
     assert all(r.shared <= r.most <= r.n for r in found)
     # The bound drops nearly all pairs that are no neighbours.
     assert sum(r.most > 0.7 * r.n for r in found) < 0.05 * len(found)
+
+
+@pytest.mark.parametrize("block", [256, 2])
+def test_pairs_are_looked_up_by_short_prefixes(spark, block):
+    """All pairs of long texts are found, though only the shorter one's first 0.4 n grams are looked up."""
+    rng = random.Random(12)
+    base = [[f"w{rng.randrange(400):03}" for _ in range(60)] for _ in range(8)]
+    texts = [" ".join(w for w in rng.choice(base) if rng.random() > 0.12) for _ in range(60)]
+    texts += [" ".join(words[: rng.randrange(25, 61)]) for words in base for _ in range(3)]
+    rows = [(f"acc{i % 2}", f"{i:03}", START, text) for i, text in enumerate(texts)]
+    nodes = clusters.cut(clusters.gram_nodes(clusters.distinct_texts(spark.createDataFrame(rows, SCHEMA))))
+    found = {(r.user_account_id, r.a, r.b, r.shared) for r in clusters.neighbour_pairs(nodes, block).collect()}
+    sets = {}
+    for account, key, day, text in rows:
+        sets.setdefault((account, frozenset(grams(text))), f"{day}|{key}")
+    wanted = {
+        (a, min(x, y), max(x, y), len(g & h))
+        for (a, g), x in sets.items()
+        for (b, h), y in sets.items()
+        if a == b and x < y and 100 * len(g & h) ** 2 >= 49 * len(g) * len(h)
+    }
+    assert found == wanted and len(wanted) > 20
+    postings = clusters._postings(clusters.cut(clusters._entries(nodes, block)), block)
+    assert not set(clusters.BITMAP) & set(postings.columns)
+    short = postings.where("10 * rest >= 6 * n").select("id", "rest").distinct().count()
+    assert short < 0.45 * sum(len(g) for _, g in sets)
