@@ -228,6 +228,42 @@ def negative_examples(
     )
 
 
+def match_counts(positives: DataFrame, non_cycles: DataFrame) -> DataFrame:
+    """Per account, what :func:`negative_examples` with ``every`` would give: the number of its
+    rows, of their transactions, and the sum of their amounts.
+
+    No match is built.  How many positives a row is matched with depends on its day and
+    cycle only, so totals of days and cycles are joined to the rows once.
+    """
+    day = [*ACCOUNT, "date"]
+    columns = [*day, "transaction_id", "signed_amount", "cycle_id"]
+    pool = non_cycles.withColumn("cycle_id", F.lit(None).cast("string")).select(*columns)
+    pool = pool.unionByName(positives.select(*columns))
+    reach = fixed.MATCH_OFFSET_DAYS
+    by_cycle = cut(
+        positives.groupBy(*day, "cycle_id")
+        .agg(F.count("*").alias("n"))
+        .withColumn("offset", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
+        .withColumn("date", F.date_add("date", F.col("offset")))
+        .groupBy(*day, "cycle_id")
+        .agg(F.sum("n").alias("own"))
+    )
+    near = by_cycle.groupBy(*day).agg(F.sum("own").alias("near"))
+    times = F.col("near") - F.coalesce("own", F.lit(0))
+    return (
+        pool.join(near, day)
+        .join(by_cycle, [*day, "cycle_id"], "left")
+        .withColumn("times", times)
+        .where("times > 0")
+        .groupBy(*ACCOUNT)
+        .agg(
+            F.sum("times").alias("n_matches"),
+            F.countDistinct("transaction_id").alias("n_transactions"),
+            F.sum(F.col("times") * F.col("signed_amount")).alias("amount"),
+        )
+    )
+
+
 def is_next_dataset(
     df: DataFrame, predict_days: Callable[[DataFrame], DataFrame], *, seed: int = fixed.SAMPLE_SEED
 ) -> DataFrame:

@@ -249,12 +249,8 @@ def negative_match_counts(spark, sf_dir):
     """All matches (no draw): how many rows there are in reach, per account."""
     tx = cut(A.labelled_events(spark, sf_dir))
     positives = cut(datasets.positive_examples(datasets.cycle_predictions(datasets.next_date_dataset(tx), _standin)))
-    negatives = datasets.negative_examples(positives, tx.where(F.col("cycle_id").isNull()), every=True)
-    return negatives.groupBy("user_id", "account_id").agg(
-        F.count("*").alias("n_matches"),
-        F.countDistinct("transaction_id").alias("n_transactions"),
-        F.sum("signed_amount").cast("decimal(20,2)").cast("double").alias("amount"),
-    )
+    counts = datasets.match_counts(positives, tx.where(F.col("cycle_id").isNull()))
+    return counts.withColumn("amount", F.col("amount").cast("decimal(20,2)").cast("double"))
 
 
 MATCH_COUNTS_SQL = f"""

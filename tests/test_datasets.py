@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 import pytest
@@ -92,6 +93,36 @@ def test_negatives_are_all_matches_or_a_share(spark):
     assert abs(len(drawn) - count) <= 0.2 * count
 
 
+def test_match_counts_without_matches_being_built(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(200):
+        cycle = rng.choice(["p", "q", None, None])
+        day = None if rng.random() < 0.05 else date(2019, 1, 1 + rng.randrange(28))
+        amount = None if rng.random() < 0.1 else float(i)
+        rows += [(day, rng.choice(["u", "u", "v", None]), "a", f"t{i % 150}", amount, f"d{i}", cycle)] * rng.choice([1, 1, 2])
+    df = spark.createDataFrame(rows, TX)
+    positives = df.where("cycle_id is not null")
+    pairs = [
+        (p[1], r[3], r[4])
+        for p in rows if p[6] and p[0]
+        for r in rows
+        if r[0] and r[1] and r[1] == p[1] and r[6] != p[6] and abs((r[0] - p[0]).days) <= 4
+    ]
+    wanted = {
+        u: (sum(p[0] == u for p in pairs), len({p[1] for p in pairs if p[0] == u}), sum(p[2] or 0 for p in pairs if p[0] == u))
+        for u in {p[0] for p in pairs}
+    }
+    counts = datasets.match_counts(positives, df.where("cycle_id is null"))
+    assert {r.user_id: (r.n_matches, r.n_transactions, r.amount) for r in counts.collect()} == wanted
+    assert datasets.match_counts(positives.where("user_id = 'u' and cycle_id = 'p'"), df.limit(0)).isEmpty()
+    # A million positives near each other and a million other rows: 10^12 matches.
+    many = spark.range(1_000_000).selectExpr("'u' as user_id", "'a' as account_id", "date'2019-01-01' as date",
+        "cast(id as string) as transaction_id", "1.0D as signed_amount", "'d' as description")
+    hot = datasets.match_counts(many.withColumn("cycle_id", F.lit("p")), many)
+    assert hot.collect() == [("u", "a", 10**12, 1_000_000, 1e12)]
+
+
 def test_split_is_disjoint_and_exact(spark):
     df = spark.range(1000).select(F.expr("cast(id % 200 as string) as user_id"), "id")
     parts = sampling.split_by_user(df)
