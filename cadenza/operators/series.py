@@ -155,17 +155,10 @@ def _decoded(df: DataFrame, code: str) -> DataFrame:
 def _label_bounded(df: DataFrame, cap: int, columns: list[str]) -> DataFrame:
     """Label groups known to be small: one shuffle, arrays in the JVM, and only
     days and amounts of groups that could hold a cycle cross into Python."""
-    rest = [c for c in columns if c not in GROUP]
+    # The row's key comes first, as it orders the rows of a day.
+    rest = [ROW, *(c for c in columns if c not in (*GROUP, ROW))]
     grouped = df.groupBy(*GROUP).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    _half_day().alias("_day"),
-                    F.col(ROW).alias("_row"),
-                    F.struct(*rest).alias("_all"),
-                )
-            ),
-        ).alias("_rows")
+        F.array_sort(F.collect_list(F.struct(_half_day().alias("_day"), F.struct(*rest).alias("_all")))).alias("_rows")
     )
     days = F.col("_rows._day")
     possible = (F.size(days) >= MIN_CYCLE_LENGTH) & (

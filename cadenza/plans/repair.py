@@ -58,8 +58,10 @@ class LabelStore:
                 alike = alike & (F.col(f"d.{c}") == F.col(f"k.{c}"))
             placed = digests.alias("d").join(known.alias("k"), alike, "left").select("d.*", F.col("k.found_in").alias("found_in"))
         placed = cut(placed)
-        changed = placed.where("found_in IS NULL").select(*GROUP)
-        rows = df.alias("r").join(changed.alias("c"), same_key("r", "c", GROUP), "left_semi")
+        rows = df
+        if last is not None:
+            changed = placed.where("found_in IS NULL").select(*GROUP)
+            rows = df.alias("r").join(changed.alias("c"), same_key("r", "c", GROUP), "left_semi")
         label_cycles(rows, **search).write.mode("overwrite").parquet(f"{self.base}/labels/found_in={run}")
         index = placed.withColumn("found_in", F.coalesce("found_in", F.lit(run)))
         index.write.mode("overwrite").parquet(f"{self.base}/index/run={run}")
@@ -72,6 +74,10 @@ class LabelStore:
     def labelled(self, spark: SparkSession, run: int) -> DataFrame:
         """The labelled rows of all groups as of a run."""
         index = spark.read.parquet(f"{self.base}/index/run={run}").select(*GROUP, "found_in")
-        rows = spark.read.parquet(f"{self.base}/labels").alias("r")
+        rows = spark.read.parquet(f"{self.base}/labels")
+        # What a run searched holds as of that run, so only rows of earlier ones are looked up.
+        own, earlier = rows.where(F.col("found_in") == run), rows.where(F.col("found_in") < run)
+        index = index.where(F.col("found_in") < run)
         mine = same_key("r", "i", GROUP) & (F.col("r.found_in") == F.col("i.found_in"))
-        return rows.join(index.alias("i"), mine, "left_semi").drop("found_in")
+        kept = earlier.alias("r").join(index.alias("i"), mine, "left_semi")
+        return own.unionByName(kept).drop("found_in")

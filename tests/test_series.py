@@ -5,6 +5,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from cadenza.functions.keys import same_key
 from cadenza.operators import series
 from cadenza.operators.series import find_cycles, label_cycles
 from cadenza.queries.labelling import _LABEL_COLUMNS, labels_sql
@@ -179,3 +180,25 @@ def test_only_changed_groups_are_searched_again(spark):
     gone = [r for r in rows if r[:2] != rows[-1][:2]]
     check([gone[0] if r == gone[1] else r for r in gone], {rows[0][:2]})
     check(rows, {rows[0][:2], rows[-1][:2]})
+
+
+def test_first_run_joins_nothing_and_newest_rows_are_not_looked_up(spark, monkeypatch):
+    from cadenza.plans import repair
+    from cadenza.session import work_path
+
+    def rows(longer):
+        data = [(a, "c", f"{i:03}", START + timedelta(days=7 * i), 1.0) for a in "uv" for i in range(4 + (a in longer))]
+        return spark.createDataFrame(data, "user_account_id string, counterparty_cluster string, transaction_pending_id string, date date, signed_amount double")
+
+    joined = []
+    monkeypatch.setattr(repair, "same_key", lambda *args: joined.append(args) or same_key(*args))
+    store = repair.LabelStore(work_path(spark, "labels"))
+    store.update(rows(""))
+    assert joined == []
+    run = store.update(rows("v"))
+    assert [tuple(r) for r in store.searched(spark, run).collect()] == [("v", "c")]
+    labelled = store.labelled(spark, run)
+    assert sorted(map(str, labelled.collect())) == sorted(map(str, label_cycles(rows("v")).select(*labelled.columns).collect()))
+    # The join reads folders of earlier runs alone, and index rows of theirs.
+    plan = labelled._jdf.queryExecution().optimizedPlan().toString()
+    assert f"< {run})" in plan and f"= {run})" in plan
