@@ -6,7 +6,8 @@ chains through the merge list and gives the most symbols a decision can depend o
 With that many symbols seen beyond a token's end, no merge across the end can come any
 more: the token is stable, is emitted, and the rest is encoded independently.  A run
 of letters of any length so needs a buffer of fixed size.  Every piece goes through it;
-ids of short pieces are kept in a cache of bounded size.
+one that does not fill the buffer is merged at once.  Ids of short pieces are kept in two
+caches of bounded size: what the older one gave lately outlives it.
 
 Decoding.  `Decoder` is fed ids one at a time and gives text as soon as bytes make up
 whole characters; it holds at most three bytes.  `JoinedDecoder` gives the form that the
@@ -27,7 +28,7 @@ import json
 import os
 import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import pyarrow as pa
 import regex
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 #: Symbols encoded at a time, beyond the lookahead.
 CHUNK = 64
-#: Pieces in the cache before it is emptied, some 100 MB.
+#: Pieces in the newer cache before it becomes the older one; both together some 100 MB.
 CACHE = 200_000
 #: Characters of a text normalized at a time, cut at a space.
 STRETCH = 1 << 16
@@ -56,8 +57,10 @@ class Merges:
     def __init__(self, vocabulary: dict[str, int], merges: list, end: str):
         self.ids = vocabulary
         self.end = end
-        #: Of two ids, 24 bits each: the priority and, in its low 24 bits, what they become.
+        #: Of two ids, 24 bits each: the priority.
         self.pairs: dict[int, int] = {}
+        #: By priority: what the pair becomes.
+        self.wholes: list[int] = []
         self.lookahead = self._measure(merges)
 
     def _measure(self, merges: list) -> int:
@@ -73,7 +76,8 @@ class Merges:
         for rank, merge in enumerate(merges):
             left, right = merge if isinstance(merge, list | tuple) else merge.split(" ")
             u, v, whole = self.ids[left], self.ids[right], self.ids[left + right]
-            self.pairs.setdefault(u << 24 | v, rank << 24 | whole)
+            self.pairs.setdefault(u << 24 | v, rank)
+            self.wholes.append(whole)
             beyond = max(reach.get(x, 0) for x in spine.get(v, (v,)))
             reach[u] = max(reach.get(u, 0), size.get(v, 1) + beyond)
             size[whole] = max(size.get(whole, 0), size.get(u, 1) + size.get(v, 1))
@@ -83,22 +87,29 @@ class Merges:
 
     def apply(self, ids: list[int]) -> list[int]:
         """Merges by priority, leftmost first among equals."""
-        get = self.pairs.get
-        waiting = [get(u << 24 | v, _NONE) for u, v in zip(ids, ids[1:], strict=False)]
-        while waiting:
+        get, wholes = self.pairs.get, self.wholes
+        waiting = [get(u << 24 | v, _NONE) for u, v in pairwise(ids)]
+        left = len(waiting)
+        while left:
             best = min(waiting)
             if best == _NONE:
                 break
             i = waiting.index(best)
-            whole = best & 0xFFFFFF
-            ids[i : i + 2] = (whole,)
-            del waiting[i]
+            ids[i] = whole = wholes[best]
+            del ids[i + 1], waiting[i]
+            left -= 1
             if i:
                 waiting[i - 1] = get(ids[i - 1] << 24 | whole, _NONE)
-            if i < len(waiting):
+            if i < left:
                 waiting[i] = get(whole << 24 | ids[i + 1], _NONE)
         return ids
 
+    def run(self, symbols: list[int], length: dict[int, int]) -> list[int]:
+        """Ids of a run of symbols; a short one never fills the buffer."""
+        if len(symbols) < CHUNK + 2 * self.lookahead:
+            return self.apply(symbols)
+        return list(self.stream(iter(symbols), length))
+
     def stream(self, symbols: Iterator[int], length: dict[int, int]) -> Iterator[int]:
         """Ids of a run of symbols of any length, in memory of CHUNK + lookahead symbols."""
         buffer: list[int] = []
@@ -116,8 +127,8 @@ class Merges:
         yield from self.apply(buffer)
 
 
-#: Ids of a piece, the same as text, and what they decode to.
-Piece = tuple[list[int], str]
+#: Ids of a piece.  The garbage collector need not follow a tuple of numbers.
+Piece = tuple[int, ...]
 
 
 class WordBpe:
@@ -140,20 +151,24 @@ class WordBpe:
         self.inner = [self.merges.ids.get(s) for s in self.signs]
         self.last = [self.merges.ids.get(s + self.end) for s in self.signs]
         self.length = {i: len(t.removesuffix(self.end)) for i, t in self.tokens.items()}
+        # Ids as text, by id.
+        self.names = [str(i) for i in range(max(self.tokens) + 1)]
         self.cache: dict[str, Piece] = {}
+        self.older: dict[str, Piece] = {}
 
     def piece(self, text: str) -> Piece:
-        """Encodes a piece anew."""
-        data = text.encode()
-        symbols = [self.inner[b] for b in data]
-        symbols[-1] = self.last[data[-1]]
-        if None in symbols:
-            symbols = [s for s in symbols if s is not None]
-        ids = list(self.merges.stream(iter(symbols), self.length))
-        found = (ids, " ".join(map(str, ids)))
+        """Encodes a piece that is not in the newer cache."""
+        found = self.older.get(text)
+        if found is None:
+            data = text.encode()
+            symbols = [*map(self.inner.__getitem__, data)]
+            symbols[-1] = self.last[data[-1]]
+            if None in symbols:
+                symbols = [s for s in symbols if s is not None]
+            found = tuple(self.merges.run(symbols, self.length))
         if len(text) <= CHUNK:
             if len(self.cache) >= CACHE:
-                self.cache.clear()
+                self.older, self.cache = self.cache, {}
             self.cache[text] = found
         return found
 
@@ -175,22 +190,22 @@ class WordBpe:
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
     def encode(self, text: str | None) -> Iterator[int]:
-        for pieces in self.parts(text):
-            for ids, _ in pieces:
-                yield from ids
+        for ids in self.parts(text):
+            yield from ids
 
-    def parts(self, text: str | None) -> Iterator[list[Piece]]:
-        """The pieces of one stretch of the text after another."""
+    def parts(self, text: str | None) -> Iterator[list[int]]:
+        """The ids of one stretch of the text after another."""
         if not text:
             return
         for between in self.around.split(text) if "<|" in text else (text,):
             if between in self.special:
-                yield [([self.special[between]], str(self.special[between]))]
+                yield [self.special[between]]
                 continue
             for stretch in self.stretches(between):
-                get = self.cache.get
                 texts = self.pieces.findall(self.normal(stretch))
-                yield [get(t) or self.piece(t) for t in texts]
+                # A piece may replace the cache; this one still holds what it held.
+                get = self.cache.get
+                yield [*chain.from_iterable([get(t) or self.piece(t) for t in texts])]
 
     def decode(self, ids) -> str:
         """As the file's tokenizer decodes: it has no decoder, so tokens are joined by a space."""
@@ -298,11 +313,10 @@ def round_trip(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", nam
             counts, ids_digest, text_digest = [], [], []
             for body in batch.column(1).to_pylist():
                 n, ids, back, lead, decoder = 0, hashlib.sha256(), hashlib.sha256(), "", JoinedDecoder(bpe)
-                for pieces in bpe.parts(body):
-                    emitted = list(chain.from_iterable([p[0] for p in pieces]))
+                for emitted in bpe.parts(body):
                     if emitted:
                         n += len(emitted)
-                        ids.update((lead + " ".join([p[1] for p in pieces if p[0]])).encode())
+                        ids.update((lead + " ".join(map(bpe.names.__getitem__, emitted))).encode())
                         back.update(decoder.feed(emitted).encode())
                         lead = " "
                 counts.append(n)

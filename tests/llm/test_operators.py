@@ -487,3 +487,16 @@ def test_windows_do_not_matter(model, spark):
     out = {r.doc_id: r.text for r in pii.redacted(df, model=model).collect()}
     assert "<phone>" in out[7] and "<email>" in out[7] and out[1000] is None and out[None] == "<email>"
     assert pii.find_spans(df.where("doc_id < -1"), model=model).count() == 0
+
+
+def test_pieces_used_lately_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 50)
+    own = bpe.WordBpe(bpe.tokenizer_path())
+    anew, run = [], own.merges.run
+    monkeypatch.setattr(own.merges, "run", lambda symbols, length: anew.append(len(symbols)) or run(symbols, length))
+    # Two words in every text, and others that come once: the two are encoded once only.
+    names = ["".join(chr(97 + (i // 26**k) % 26) for k in range(3)) for i in range(400)]
+    words = [list(own.encode(f"netflix {name} subscription")) for name in names]
+    assert len(anew) == len(set(names)) + 2 and len(own.cache) <= 50 and len(own.older) <= 50
+    whole = bpe.tokenizer(bpe.tokenizer_path())
+    assert words == [list(whole.encode(f"netflix {name} subscription")) for name in names]
