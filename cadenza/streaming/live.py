@@ -1,8 +1,10 @@
 """Detection over a stream of transactions (G8 live, G17).
 
 A micro-batch is not a window: rows wait until no row of their window can arrive
-any more, and then pass through the same step as in a batch run.  Spark's watermark
-on the date says when that is, and which rows are too late (`order`).
+any more, and then pass through the same step as in a batch run.  A watermark on the
+date, the latest date so far less the lateness allowed, says when that is, and which rows
+are too late.  It lies in the progress row, so rows need no keyed state to learn it, and the
+windows that a batch's own rows close are processed in that batch.
 
 Everything a batch leaves behind lies in folders named by its number: rows still
 waiting, the manifest of the state, results, late rows, and a progress row.  Batch ``n`` reads
@@ -28,7 +30,6 @@ from cadenza.plans.detection import INPUT, UPCOMING, UPCOMING_COLUMNS, empty_upc
 from cadenza.plans.state import MANIFEST, StateTable
 from cadenza.plans.windows import window_map
 from cadenza.streaming.keyed import run
-from cadenza.streaming.order import marked
 
 _WAITING = (
     "user_id string, account_id string, transaction_id string, date date, signed_amount double,"
@@ -59,8 +60,7 @@ class LiveDetection:
         self.lateness_days, self.days = lateness_days, days
 
     def start(self, transactions: DataFrame, **trigger) -> StreamingQuery:
-        # A watermark is reached, not only passed: one day more keeps rows of the latest date in time.
-        return run(marked(transactions.select(*INPUT), self.lateness_days + 1), self.base, "detection", trigger, self.process)
+        return run(transactions.select(*INPUT), self.base, "detection", trigger, self.process)
 
     def _folder(self, kind: str, batch: int, final: bool = False) -> str:
         return f"{self.base}/{'final_' if final else ''}{kind}/batch={batch}"
@@ -83,8 +83,7 @@ class LiveDetection:
     def process(self, rows: DataFrame, batch: int, last: bool = False) -> None:
         """Take in one batch and process the windows that the watermark has passed.
 
-        ``rows`` may come marked (``late``, ``reached``); without marks the latest date of
-        this batch and the ones before stands for the watermark.  With ``last`` all windows
+        Rows are late by the watermark of the batches before.  With ``last`` all windows
         are processed, upon what batch ``batch`` left.
         """
         spark = rows.sparkSession
@@ -93,16 +92,14 @@ class LiveDetection:
         done_until, reached = progress.first() if progress is not None else (None, None)
 
         rows = rows.persist()
-        if "reached" in rows.columns:
-            passed = rows.agg(F.max("reached")).first()[0]
-            in_time = ~F.col("late")
-        else:
-            newest = rows.agg(F.max("date")).first()[0]
-            passed = newest and newest - timedelta(days=self.lateness_days + 1)
-            in_time = F.lit(True)
+        in_time = F.lit(True)
+        for behind in (reached, done_until):
+            if behind is not None:
+                in_time &= F.col("date") > F.lit(behind)
+        # A watermark is reached, not only passed: one day more keeps rows of the latest date in time.
+        newest = rows.agg(F.max("date")).first()[0]
+        passed = newest and newest - timedelta(days=self.lateness_days + 1)
         reached = max((d for d in (reached, passed) if d is not None), default=None)
-        if done_until is not None:
-            in_time &= F.col("date") > F.lit(done_until)
         rows.where(F.col("date").isNull() | ~in_time).select(*INPUT).write.mode("overwrite").parquet(self._folder("late", batch, last))
 
         # Scored once, on arrival: the has-cycle model needs no state.

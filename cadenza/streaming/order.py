@@ -1,7 +1,6 @@
 """Rows in order of event time, and those too late for it.
 
-:func:`marked` only says of each row whether it is behind the watermark, and which day
-that has reached.  :func:`in_order` also sorts the stream: rows wait in a keyed state
+:func:`in_order` sorts the stream: rows wait in a keyed state
 until the watermark has reached their date and are then handed on, all rows of a date in
 one micro-batch and no earlier date after it.  A row behind the watermark is handed on at
 once, marked ``late``.  The watermark is Spark's own and lies in the checkpoint, so a
@@ -25,7 +24,6 @@ from pyspark.sql.types import AtomicType, BinaryType, NullType, TimestampType
 
 from cadenza.streaming.keyed import PackedRows, bucket_of, reached_day, wake_on, with_event_day
 
-SLICES = 16
 #: Of a date whose rows wait: as many values, each with its share of the date's rows.
 WAITING_SLICES = 64
 #: Stands for a missing date: no day is before it.
@@ -61,25 +59,6 @@ class Waiting(StatefulProcessor):
         pass
 
 
-class Marks(StatefulProcessor):
-    """Hands rows on at once, with the day that the watermark has reached; keeps nothing."""
-
-    def __init__(self, names: list[str]):
-        self.names = names
-
-    def init(self, handle) -> None:
-        pass
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        reached = reached_day(timerValues)
-        for part in rows:
-            behind = NO_DAY if reached is None else reached
-            yield part[[*self.names, "day"]].assign(late=part["day"] <= behind, reached=behind)
-
-    def close(self) -> None:
-        pass
-
-
 def _strings(names: list[str]) -> str:
     return ", ".join(f"{n} string" for n in names)
 
@@ -126,15 +105,6 @@ def dated(column: str):
     return F.date_from_unix_date(F.when(F.col(column) != NO_DAY, F.col(column)))
 
 
-def marked(rows: DataFrame, delay_days: int, date: str = "date", slices: int = SLICES) -> DataFrame:
-    """The stream ``rows`` with ``late`` and ``reached`` (a date, null before the first watermark)."""
-    carried = _Carried(rows, date)
-    keyed = carried.out(rows, delay_days, [], slices).groupBy("slice")
-    out = f"{_strings(carried.names)}, day int, late boolean, reached int"
-    found = keyed.transformWithStateInPandas(Marks(carried.names), out, "update", "eventTime")
-    return found.select(*carried.back(), "late", dated("reached").alias("reached"))
-
-
 def in_order(rows: DataFrame, by: list[str], delay_days: int, date: str = "date", slices: int = WAITING_SLICES) -> DataFrame:
     """The stream ``rows`` with ``late``; rows without a date are late."""
     carried = _Carried(rows, date)
